@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterable
 
@@ -39,6 +40,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let the driver collect plans that are done, so that their shuffle files go before more are written."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write df as Parquet in the shared folder and read it again: lineage is cut, and lost executors lose nothing."""
     spark = df.sparkSession

@@ -14,6 +14,9 @@ set and the smallest doc_id reachable by links. The join is exact up to 64-bit h
 * `boundary` is the largest size at which listing subsets costs no more than scanning lists.
 
 Frequency levels come from a count sketch over all shingles of all documents (fixed size).
+A candidate pair is first held against an upper bound of its overlap, from the counts of each set
+over SIGNATURE hash ranges, and only then against the sets themselves.
+
 In each list only the member with the fewest rarer shingles (the hub) is compared with the others; what is then
 in one component needs no more pairs. Members outside the hub's component are compared with
 every member of another component, so no link between components is lost, whatever the group.
@@ -39,6 +42,8 @@ from .textops import U64, mix, shingle_sets, string_buffers
 
 #: Counters of the frequency sketch, and the blocks in which they are summed.
 WIDTH, BLOCKS = 1 << 22, 64
+#: Hash ranges over which a set's members are counted, for an upper bound of overlaps.
+SIGNATURE = 256
 #: Bits of the filter that says whose sets a comparison needs.
 FILTER_BITS = 1 << 23
 #: Largest size for which subsets are ever listed.
@@ -81,6 +86,15 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _signature(s: np.ndarray) -> bytes:
+    counts = np.bincount((s >> U64(56)).astype(np.int64), minlength=SIGNATURE)
+    return counts.astype(np.uint8 if counts.max() < 256 else np.uint32).tobytes()
+
+
+def _counts(blob) -> np.ndarray:
+    return np.frombuffer(blob, np.uint8 if len(blob) == SIGNATURE else np.uint32).astype(np.int64)
+
+
 def _census(k: int):
     """Of each document its set's size and fingerprints; at the end of a task its share of the sketch."""
     schema = "kind int, doc_id long, fp long, fp2 long, n long, blob binary"
@@ -94,7 +108,7 @@ def _census(k: int):
             fps = [_fingerprints(s) for s in sets]
             m = len(sets)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([0] * m, pa.int32()), b.column(0), pa.array([_signed(a) for a, _ in fps], pa.int64()), pa.array([_signed(a) for _, a in fps], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.nulls(m, pa.binary())],
+                [pa.array([0] * m, pa.int32()), b.column(0), pa.array([_signed(a) for a, _ in fps], pa.int64()), pa.array([_signed(a) for _, a in fps], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([_signature(s) for s in sets], pa.binary())],
                 names=["kind", "doc_id", "fp", "fp2", "n", "blob"],
             )
         step = WIDTH // BLOCKS
@@ -171,7 +185,7 @@ def _postings(k: int, percent: int, boundary: int, level):
 
 def _chosen(k: int, bits):
     """The sets of the documents whose doc_id the filter may hold."""
-    schema = "doc_id long, shingles binary"
+    schema = "doc_id long, own long, shingles binary"
 
     def run(batches):
         flags = np.frombuffer(zlib.decompress(bits.value), np.uint64)
@@ -181,11 +195,18 @@ def _chosen(k: int, bits):
             b = b.filter(pa.array(keep))
             if b.num_rows:
                 sets = shingle_sets(*string_buffers(b.column(1)), k)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "shingles"])
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([_signed(_fingerprints(s)[0]) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "own", "shingles"])
 
     return run, schema
 
 
+def _bound(batches):
+    for b in batches:
+        left, right = b.column(2), b.column(3)
+        most = [int(np.minimum(_counts(left[i].as_py()), _counts(right[i].as_py())).sum()) for i in range(b.num_rows)]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(most, pa.int64()), b.column(4)], names=["a", "b", "inter", "total"])
+
+
 def _overlap(batches):
     for b in batches:
         left, right = b.column(2), b.column(3)
@@ -193,13 +214,21 @@ def _overlap(batches):
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(size, pa.int64()), b.column(4)], names=["a", "b", "inter", "total"])
 
 
+def _enough(pairs: DataFrame, sets: DataFrame, what: str, measure, percent: int) -> DataFrame:
+    """The pairs (a, b) for which measure, over the column `what` of sets (fp, n, what), still reaches the overlap needed."""
+    one = pairs.join(sets.select(F.col("fp").alias("a"), F.col(what).alias("left"), F.col("n").alias("na")), "a")
+    two = one.join(sets.select(F.col("fp").alias("b"), F.col(what).alias("right"), F.col("n").alias("nb")), "b")
+    found = two.select("a", "b", "left", "right", (F.col("na") + F.col("nb")).alias("total")).mapInArrow(measure, "a long, b long, inter long, total long")
+    return found.where(F.col("inter") * (100 + percent) >= F.col("total") * percent).select("a", "b")
+
+
 def _verify(docs: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """Of pairs (a, b) of fingerprints, those that link."""
     spark = docs.sparkSession
-    pairs, _ = base.stored(pairs, "pairs")
+    pairs, _ = base.stored(_enough(pairs, reps, "signature", _bound, percent), "pairs")
     wanted = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
-    wanted = wanted.join(reps, "fp").select("fp", "rep", "n")
-    wanted, _ = base.stored(wanted, "wanted")
+    wanted, _ = base.stored(wanted.join(reps, "fp").select("fp", "rep", "n"), "wanted")
+    base.sweep(spark)
     slot = F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS))
     words = wanted.select(slot.alias("h")).groupBy(F.shiftright("h", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(h & 63 as int)))").alias("v"))
     flags = np.zeros(FILTER_BITS // 64, np.int64)
@@ -208,13 +237,13 @@ def _verify(docs: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, percent:
     bits = spark.sparkContext.broadcast(zlib.compress(flags.tobytes(), 1))
     run, schema = _chosen(k, bits)
     sets = docs.where("doc_id is not null").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("slot")).mapInArrow(run, schema)
-    # a doc_id that is not unique may bring other texts: each is the set of its own fingerprint
-    sets = wanted.join(sets, wanted["rep"] == sets["doc_id"]).where(F.length("shingles") == 8 * F.col("n")).select("fp", "n", "shingles").dropDuplicates(["fp"])
-    sets, _ = base.stored(sets, "sets")
-    one = pairs.join(sets.select(F.col("fp").alias("a"), F.col("shingles").alias("left"), F.col("n").alias("na")), "a")
-    two = one.join(sets.select(F.col("fp").alias("b"), F.col("shingles").alias("right"), F.col("n").alias("nb")), "b")
-    found = two.select("a", "b", "left", "right", (F.col("na") + F.col("nb")).alias("total")).mapInArrow(_overlap, "a long, b long, inter long, total long")
-    return base.stored(found.where(F.col("inter") * (100 + percent) >= F.col("total") * percent).select("a", "b"), "links")[0]
+    # a doc_id that is not unique may bring other texts: each set must have the fingerprint it is to stand for
+    sets = wanted.join(sets, (wanted["rep"] == sets["doc_id"]) & (wanted["fp"] == sets["own"])).select("fp", "n", "shingles").dropDuplicates(["fp"])
+    sets, sets_path = base.stored(sets, "sets")
+    links, _ = base.stored(_enough(pairs, sets, "shingles", _overlap, percent), "links")
+    base.drop_path(spark, sets_path)
+    base.sweep(spark)
+    return links
 
 
 def _room(percent: int, one: str, two: str):
@@ -234,19 +263,21 @@ def jaccard_groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     found, _ = base.stored(docs.mapInArrow(run, schema), "census")
     level, load = _levels(found)
     boundary = pick_boundary(load, percent)
-    mine = found.where("kind = 0").select("doc_id", "fp", "fp2", "n")
-    reps = mine.where("n > 0 and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.min("fp2").alias("x"), F.max("fp2").alias("y"))
+    mine = found.where("kind = 0").select("doc_id", "fp", "n")
+    named = found.where("kind = 0 and n > 0 and doc_id is not null")
+    reps = named.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.min("fp2").alias("x"), F.max("fp2").alias("y"), F.first("blob").alias("signature"))
     reps, _ = base.stored(reps, "reps")
     if reps.where("x <> y").limit(1).count():
         raise RuntimeError("two different sets share a 64-bit fingerprint")
     run, schema = _postings(k, percent, boundary, spark.sparkContext.broadcast(zlib.compress(level.tobytes(), 1)))
     rows, rows_path = base.stored(docs.where("doc_id is not null").mapInArrow(run, schema), "postings")
-    hubs = (
-        rows.groupBy("token").agg(F.min(F.struct("pos", "n", "fp")).alias("hub"), F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("token", "hub")
-    )
-    lists = rows.join(hubs, "token").select("token", F.struct("pos", "n", "fp").alias("me"), "hub").distinct()
-    lists, _ = base.stored(lists, "lists")
+    shared = rows.groupBy("token").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("token")
+    lists, lists_path = base.stored(rows.join(shared, "token").distinct(), "shared")
     base.drop_path(spark, rows_path)
+    base.sweep(spark)
+    hubs = lists.groupBy("token").agg(F.min(F.struct("pos", "n", "fp")).alias("hub"))
+    lists, _ = base.stored(lists.select("token", F.struct("pos", "n", "fp").alias("me")).join(hubs, "token"), "lists")
+    base.drop_path(spark, lists_path)
     star = lists.where(_room(percent, "me", "hub") & (F.col("me.fp") != F.col("hub.fp")))
     star = star.select(F.least("me.fp", "hub.fp").alias("a"), F.greatest("me.fp", "hub.fp").alias("b")).distinct()
     links = _verify(docs, reps, star, k, percent)
