@@ -239,17 +239,19 @@ def train(data: np.ndarray, offs: np.ndarray, y: np.ndarray, rounds: int = 4, se
         extra = rng.choice(clean, min(len(clean), n), replace=False)
         chosen = np.concatenate([top, extra])
         target, rate = yd[doc[chosen]], (0.01, 0.01, 0.006, 0.004, 0.002)[min(r, 4)]
-        for _ in range(2):
+        size = int(np.clip(len(chosen) // 16, 16, 256))
+        for _ in range(max(2, 48 * size // len(chosen))):
             order = rng.permutation(len(chosen))
-            for i in range(0, len(order), 256):
-                sel = chosen[order[i : i + 256]]
+            for i in range(0, len(order), size):
+                sel = chosen[order[i : i + size]]
                 idx, live = _windows(where, ptr, start[sel], doc[sel])
+                idx, live = np.vstack([idx, idx[:2]]), np.vstack([live, 0 * live[:2]])  # two windows without words are clean
                 used, at = np.unique(idx, return_inverse=True)
                 slots = [np.arange(begin[k], begin[k + 1] if k + 1 < len(begin) else len(tri)) for k in used] if len(kinds) else []
                 t = tri[np.concatenate(slots)] if slots else np.empty(0, np.int32)
                 b = np.cumsum([0, *map(len, slots)])[:-1] if slots else np.empty(0, np.int64)
                 vecs, row, count = inputs(m, vocabulary, kinds[used], head[used], t, b)
-                gw, gvec, _ = gradients(m, vecs, at.reshape(idx.shape), live, target[order[i : i + 256]], np.ones(len(sel), F32))
+                gw, gvec, _ = gradients(m, vecs, at.reshape(idx.shape), live, np.append(target[order[i : i + size]], [0, 0]).astype(F32)[: len(idx)], np.append(np.ones(len(sel), F32), [6, 6]).astype(F32)[: len(idx)])
                 gw |= {k: np.zeros_like(m[k]) for k in ("words", "chars", "heads")}
                 np.add.at(gw["words"], row, gvec[:, :WORD_DIM])
                 np.add.at(gw["chars"], t, np.repeat(gvec[:, WORD_DIM : WORD_DIM + CHAR_DIM] / count[:, None], count, axis=0))
