@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .jaccard_join import jaccard_groups
+from .packing import pack
 from .toxicity import toxicity_scores
 from .quality_rules import quality_scores
 
@@ -25,5 +26,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op6_toxicity": op6_toxicity, "op9_quality_rules": op9_quality_rules, "op5_ngram_jaccard_join": op5_ngram_jaccard_join}
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {"op7_best_fit_packing": op7_best_fit_packing, "op6_toxicity": op6_toxicity, "op9_quality_rules": op9_quality_rules, "op5_ngram_jaccard_join": op5_ngram_jaccard_join}
 ORACLES: dict[str, str] = {}
