@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .jaccard_join import jaccard_groups
+from .bpe_codec import encode_decode
 from .packing import pack
 from .toxicity import toxicity_scores
 from .quality_rules import quality_scores
@@ -32,5 +33,11 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {"op7_best_fit_packing": op7_best_fit_packing, "op6_toxicity": op6_toxicity, "op9_quality_rules": op9_quality_rules, "op5_ngram_jaccard_join": op5_ngram_jaccard_join}
+def op8_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {"op8_bpe_chunks": op8_bpe_chunks, "op7_best_fit_packing": op7_best_fit_packing, "op6_toxicity": op6_toxicity, "op9_quality_rules": op9_quality_rules, "op5_ngram_jaccard_join": op5_ngram_jaccard_join}
 ORACLES: dict[str, str] = {}
