@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .jaccard_join import jaccard_groups
+from .vector_dedup import near_vectors
 from .bpe_codec import encode_decode
 from .packing import pack
 from .toxicity import toxicity_scores
@@ -39,5 +40,9 @@ def op8_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op8_bpe_chunks": op8_bpe_chunks, "op7_best_fit_packing": op7_best_fit_packing, "op6_toxicity": op6_toxicity, "op9_quality_rules": op9_quality_rules, "op5_ngram_jaccard_join": op5_ngram_jaccard_join}
+def op4_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+QUERIES = {"op4_vector_near_dedup": op4_vector_near_dedup, "op8_bpe_chunks": op8_bpe_chunks, "op7_best_fit_packing": op7_best_fit_packing, "op6_toxicity": op6_toxicity, "op9_quality_rules": op9_quality_rules, "op5_ngram_jaccard_join": op5_ngram_jaccard_join}
 ORACLES: dict[str, str] = {}
