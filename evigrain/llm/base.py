@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import gc
+import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,3 +111,20 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 def pick(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Only the named columns, in that order: extra columns, whatever they are called, go no further."""
     return df.select(*[F.col(f"`{n}`") for n in names])
+
+
+def beside(df: DataFrame, inputs: list[str], measure: Callable, fields: str) -> DataFrame:
+    """df with the columns `fields` that measure makes, batch by batch, of the Arrow arrays of `inputs`; nothing is shuffled.
+
+    Columns of df may have any names, those of `fields` too; then the later ones are meant by position.
+    """
+    at = [df.columns.index(c) for c in inputs]
+    plain = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    added = [x.split()[0] for x in re.split(r", (?=\w+ )", fields)]
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, *measure(*(b.column(i) for i in at))], names=[*b.schema.names, *added])
+
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema), fields])
+    return plain.mapInArrow(run, schema).toDF(*df.columns, *added)

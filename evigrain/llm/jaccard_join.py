@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import base
+from . import base, buckets
 from .textops import U64, mix, shingle_sets, string_buffers
 
 #: Counters of the frequency sketch, and the blocks in which they are summed.
@@ -246,14 +246,6 @@ def _verify(docs: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, percent:
     return links
 
 
-def _room(percent: int, one: str, two: str):
-    """Whether two members of a list can still overlap enough if this is their first common shingle."""
-    total = F.col(f"{one}.n") + F.col(f"{two}.n")
-    least = F.ceil(total * percent / (100 + percent) - 1e-9)
-    left = F.least(F.col(f"{one}.n") - F.col(f"{one}.pos"), F.col(f"{two}.n") - F.col(f"{two}.pos"))
-    return (left >= least) & (F.least(F.col(f"{one}.n"), F.col(f"{two}.n")) * 100 >= F.greatest(F.col(f"{one}.n"), F.col(f"{two}.n")) * percent)
-
-
 def jaccard_groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs (doc_id, text)."""
     spark = docs.sparkSession
@@ -275,27 +267,21 @@ def jaccard_groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     lists, lists_path = base.stored(rows.join(shared, "token").distinct(), "shared")
     base.drop_path(spark, rows_path)
     base.sweep(spark)
-    hubs = lists.groupBy("token").agg(F.min(F.struct("pos", "n", "fp")).alias("hub"))
-    lists, _ = base.stored(lists.select("token", F.struct("pos", "n", "fp").alias("me")).join(hubs, "token"), "lists")
+    comp = base.components(buckets.resolve(lists, percent, lambda pairs: _verify(docs, reps, pairs, k, percent)))
     base.drop_path(spark, lists_path)
-    star = lists.where(_room(percent, "me", "hub") & (F.col("me.fp") != F.col("hub.fp")))
-    star = star.select(F.least("me.fp", "hub.fp").alias("a"), F.greatest("me.fp", "hub.fp").alias("b")).distinct()
-    links = _verify(docs, reps, star, k, percent)
-    comp = base.components(links)
-    comp, _ = base.stored(comp, "comp")
-    mine_in = lambda of: F.coalesce(F.col("component"), F.col(of))
-    placed = lists.join(comp.withColumnRenamed("node", "x"), F.col("me.fp") == F.col("x"), "left").select("token", "me", "hub", mine_in("me.fp").alias("cm"))
-    placed = placed.join(comp.withColumnRenamed("node", "x"), F.col("hub.fp") == F.col("x"), "left").select("token", "me", "cm", mine_in("hub.fp").alias("ch"))
-    placed, _ = base.stored(placed, "placed")
-    stray = placed.where("cm <> ch")
-    least_of = F.ceil(F.col("me.n") * percent / 100 - 1e-9)
-    stray = stray.where(F.col("me.n") - F.col("me.pos") >= least_of).select("token", F.col("me").alias("one"), F.col("cm").alias("c1"))
-    rest = placed.select("token", F.col("me").alias("two"), F.col("cm").alias("c2"), F.col("ch").alias("c3"))
-    cross = stray.join(rest, "token").where((F.col("c1") != F.col("c2")) & ((F.col("c2") == F.col("c3")) | (F.col("one.fp") < F.col("two.fp"))) & _room(percent, "one", "two"))
-    cross = cross.select(F.least("one.fp", "two.fp").alias("a"), F.greatest("one.fp", "two.fp").alias("b")).distinct()
-    more = _verify(docs, reps, cross, k, percent)
-    comp = base.components(links.unionByName(more))
     whole = mine.join(comp.withColumnRenamed("node", "x"), F.col("fp") == F.col("x"), "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "fp")).alias("c"))
     whole, _ = base.stored(whole, "classes")
     first = whole.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("first")).withColumnRenamed("c", "g")
     return whole.join(first, F.col("c") == F.col("g"), "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs whose document is the smallest of its component, all columns kept; of rows with one doc_id one stays."""
+    groups, _ = base.stored(jaccard_groups(docs, k, percent), "groups")
+    keep = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id"))
+    wide = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    key = F.col(f"c{docs.columns.index('doc_id')}")
+    out = wide.join(keep, key.cast("long") == F.col("kept_id"), "left_semi")
+    if keep.groupBy("kept_id").count().where("count > 1").limit(1).count():
+        out = out.dropDuplicates([f"c{docs.columns.index('doc_id')}"])
+    return out.unionByName(wide.where(key.isNull())).toDF(*docs.columns)
