@@ -197,11 +197,27 @@ def training_rows(found: DataFrame, labels: DataFrame, label: str, mod: int, res
     return found.join(own, F.col("doc_id") == F.col("labelled")).drop("labelled")
 
 
+def _fitted(found: DataFrame, labels: DataFrame, max_train: int) -> tuple[list[tuple], Column]:
+    train = training_rows(found, labels, "quality", 3, 1, False, max_train).limit(max_train + max_train // 20).toPandas().sort_values(["doc_id", *STATS])
+    rules, weights, bias = fit(train[list(STATS)].to_numpy(np.float64).reshape(-1, len(STATS)), train["y"].to_numpy(np.float64))
+    return rules, compile_rules(rules, weights, bias)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """(doc_id, held_out, score, predicted, n_rules) of every row of docs (doc_id, text); labels: (doc_id, quality)."""
     base.tune(docs.sparkSession)
     found, _ = base.stored(with_statistics(docs), "statistics")
-    train = training_rows(found, labels, "quality", 3, 1, False, max_train).limit(max_train + max_train // 20).toPandas().sort_values(["doc_id", *STATS])
-    rules, weights, bias = fit(train[list(STATS)].to_numpy(np.float64).reshape(-1, len(STATS)), train["y"].to_numpy(np.float64))
-    out = found.select("doc_id", held_out(3, 1).alias("held_out"), compile_rules(rules, weights, bias).alias("score"))
+    rules, score = _fitted(found, labels, max_train)
+    out = found.select("doc_id", held_out(3, 1).alias("held_out"), score.alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int")).withColumn("n_rules", F.lit(len(rules)))
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
+    """The rows of docs that the rules accept, all columns kept; texts are measured where they lie."""
+    base.tune(docs.sparkSession)
+    found, _ = base.stored(with_statistics(docs), "statistics")
+    _, score = _fitted(found, labels, max_train)
+    wide = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text = f"c{docs.columns.index('text')}"
+    full = base.beside(wide, [text], lambda t: [pa.array(c) for c in statistics(*string_buffers(t)).T], ", ".join(f"{s} double" for s in STATS))
+    return full.where(score >= 0.5).select(*wide.columns).toDF(*docs.columns)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .jaccard_join import jaccard_groups
+from .passage_dedup import dedup_passages
 from .vector_dedup import near_vectors
 from .bpe_codec import encode_decode
 from .packing import pack
@@ -44,5 +45,9 @@ def op4_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
-QUERIES = {"op4_vector_near_dedup": op4_vector_near_dedup, "op8_bpe_chunks": op8_bpe_chunks, "op7_best_fit_packing": op7_best_fit_packing, "op6_toxicity": op6_toxicity, "op9_quality_rules": op9_quality_rules, "op5_ngram_jaccard_join": op5_ngram_jaccard_join}
+def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_passages(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op10_passage_dedup": op10_passage_dedup, "op4_vector_near_dedup": op4_vector_near_dedup, "op8_bpe_chunks": op8_bpe_chunks, "op7_best_fit_packing": op7_best_fit_packing, "op6_toxicity": op6_toxicity, "op9_quality_rules": op9_quality_rules, "op5_ngram_jaccard_join": op5_ngram_jaccard_join}
 ORACLES: dict[str, str] = {}

@@ -300,26 +300,34 @@ def _pieces(offs: np.ndarray, most: int = 2_000_000):
         i = j
 
 
-def _scored(model):
-    def run(batches):
-        fitted = model.value
-        for b in batches:
-            data, offs = string_buffers(b.column(1))
-            got = [score(fitted, data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]) for i, j in _pieces(offs)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.concatenate(got) if got else np.empty(0))], names=["doc_id", "score"])
+def _probabilities(fitted: dict, col: pa.Array) -> pa.Array:
+    data, offs = string_buffers(col)
+    got = [score(fitted, data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]) for i, j in _pieces(offs)]
+    return pa.array(np.concatenate(got) if got else np.empty(0))
 
-    return run
 
-
-def toxicity_scores(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row of docs (doc_id, text); labels: (doc_id, toxic)."""
-    spark = docs.sparkSession
-    base.tune(spark)
+def _fitted(docs: DataFrame, labels: DataFrame, max_train: int) -> dict:
     docs = base.pick(docs, ["doc_id", "text"]).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sample = training_rows(docs, labels, "toxic", 5, 0, False, max_train).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y")
     sample = sample.where(F.octet_length("text") <= MAX_BYTES // 40).limit(max_train + max_train // 20).toPandas().sort_values(["doc_id", "text"])
     sample = sample[sample["text"].str.len().cumsum() <= MAX_BYTES]
     data, offs = string_buffers(pa.array(sample["text"].tolist(), pa.string()))
-    fitted = train(data, offs, sample["y"].to_numpy(np.float64))
-    scored = docs.mapInArrow(_scored(spark.sparkContext.broadcast(fitted)), "doc_id long, score double")
+    return train(data, offs, sample["y"].to_numpy(np.float64))
+
+
+def toxicity_scores(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every row of docs (doc_id, text); labels: (doc_id, toxic)."""
+    base.tune(docs.sparkSession)
+    model = docs.sparkSession.sparkContext.broadcast(_fitted(docs, labels, max_train))
+    docs = base.pick(docs, ["doc_id", "text"]).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    scored = base.beside(docs, ["text"], lambda t: [_probabilities(model.value, t)], "score double")
     return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def clean_documents(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
+    """The rows of docs that score below 0.5, all columns kept; texts are scored where they lie."""
+    base.tune(docs.sparkSession)
+    model = docs.sparkSession.sparkContext.broadcast(_fitted(docs, labels, max_train))
+    wide = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    scored = base.beside(wide, [f"c{docs.columns.index('text')}"], lambda t: [_probabilities(model.value, t)], "score double")
+    return scored.where("score < 0.5").select(*wide.columns).toDF(*docs.columns)
