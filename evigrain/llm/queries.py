@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .jaccard_join import jaccard_groups
+from .ngram_lm import backoff_scores
 from .html_layout import extract
 from .additive_ann import nearest
 from .passage_dedup import dedup_passages
@@ -60,5 +61,9 @@ def op1_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {"op1_html_layout": op1_html_layout, "op2_additive_ann": op2_additive_ann, "op10_passage_dedup": op10_passage_dedup, "op4_vector_near_dedup": op4_vector_near_dedup, "op8_bpe_chunks": op8_bpe_chunks, "op7_best_fit_packing": op7_best_fit_packing, "op6_toxicity": op6_toxicity, "op9_quality_rules": op9_quality_rules, "op5_ngram_jaccard_join": op5_ngram_jaccard_join}
+def op3_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_scores(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op3_stupid_backoff": op3_stupid_backoff, "op1_html_layout": op1_html_layout, "op2_additive_ann": op2_additive_ann, "op10_passage_dedup": op10_passage_dedup, "op4_vector_near_dedup": op4_vector_near_dedup, "op8_bpe_chunks": op8_bpe_chunks, "op7_best_fit_packing": op7_best_fit_packing, "op6_toxicity": op6_toxicity, "op9_quality_rules": op9_quality_rules, "op5_ngram_jaccard_join": op5_ngram_jaccard_join}
 ORACLES: dict[str, str] = {}
