@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import re
 import uuid
@@ -46,6 +48,8 @@ def sweep(spark: SparkSession) -> None:
     """Let the driver collect plans that are done, so that their shuffle files go before more are written."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has it, give freed memory back
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:

@@ -186,8 +186,8 @@ def _verify(docs: DataFrame, where: DataFrame, pairs: DataFrame, least: int, per
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
     words = wanted.select(slot.alias("h")).groupBy(F.shiftright("h", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(h & 63 as int)))").alias("v"))
     flags = np.zeros(FILTER_BITS // 64, np.int64)
-    for r in words.collect():  # at most FILTER_BITS / 64 rows, whatever the input
-        flags[r["w"]] = r["v"]
+    got = words.toArrow()  # at most FILTER_BITS / 64 rows, whatever the input
+    flags[got["w"].to_numpy()] = got["v"].to_numpy()
     run, schema = _sets(least, k, spark.sparkContext.broadcast(zlib.compress(flags.tobytes(), 1)))
     sets = docs.where("doc_id is not null").select("text", slot.alias("slot")).mapInArrow(run, schema)
     sets, path = base.stored(sets.join(wanted.select("fp"), "fp", "left_semi").dropDuplicates(["fp"]), "sets")

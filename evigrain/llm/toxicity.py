@@ -311,8 +311,12 @@ def _fitted(docs: DataFrame, labels: DataFrame, max_train: int) -> dict:
     sample = training_rows(docs, labels, "toxic", 5, 0, False, max_train).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y")
     sample = sample.where(F.octet_length("text") <= MAX_BYTES // 40).limit(max_train + max_train // 20).toPandas().sort_values(["doc_id", "text"])
     sample = sample[sample["text"].str.len().cumsum() <= MAX_BYTES]
-    data, offs = string_buffers(pa.array(sample["text"].tolist(), pa.string()))
-    return train(data, offs, sample["y"].to_numpy(np.float64))
+    data, offs = string_buffers(pa.array(sample["text"], pa.string()))
+    y = sample["y"].to_numpy(np.float64)
+    del sample
+    fitted = train(data, offs, y)
+    base.sweep(docs.sparkSession)
+    return fitted
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
