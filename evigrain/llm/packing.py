@@ -25,6 +25,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -64,15 +65,36 @@ class ByteLevelEncoder:
         pre = kept.get("pre_tokenizer") or {}
         self.plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not kept.get("normalizer") and kept["model"]["type"] == "BPE"
         self.known: dict[str, bytes] = {}
+        self.ranks = self._by_rank(kept["model"]) if self.plain else None
+
+    @staticmethod
+    def _by_rank(model: dict):
+        """Ids of one piece by merging in the order of ids, where the file's merges stand in that very order; else None."""
+        import tiktoken
+
+        vocab, merges = model["vocab"], model["merges"]
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
+        first = len(vocab) - len(merges)
+        if first != 256 or any(vocab.get(a + b) != first + i for i, (a, b) in enumerate(pairs)):
+            return None
+        # the printable stand-ins of bytes: those that print stand for themselves, the others follow from 256 on
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(shown))}
+        ranks = {bytes(byte[c] for c in token): i for token, i in vocab.items() if all(c in byte for c in token)}
+        if len(ranks) < len(vocab):
+            return None
+        return tiktoken.Encoding("pieces", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         cut = [_PIECE.findall(t) if self.plain and not _ODD.search(t) and not any(a in t for a in self.added) else None for t in texts]
+        here = set().union(*(c for c in cut if c is not None))
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        fresh = list({p for c in cut if c is not None for p in c if p not in self.known})
-        for i in range(0, len(fresh), 20_000):
-            some = fresh[i : i + 20_000]
-            for p, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
+            self.known = {p: self.known[p] for p in here & self.known.keys()}  # what is at hand is common
+        fresh = list(here.difference(self.known))
+        if self.ranks:
+            self.known |= {p: array("I", self.ranks(p)).tobytes() for p in fresh}
+        else:
+            for p, e in zip(fresh, self.library.encode_batch_fast(fresh, add_special_tokens=False) if fresh else [], strict=True):
                 self.known[p] = np.array(e.ids, "<u4").tobytes()
         get = self.known.__getitem__
         return [np.frombuffer(b"".join(map(get, c)), "<u4") if c is not None else np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4") for t, c in zip(texts, cut, strict=True)]
