@@ -5,8 +5,8 @@ set and the smallest doc_id reachable by links. The join is exact up to 64-bit h
 
 * Documents with the same set are one node from the start, so copies are never paired.
 * Sets of at most `boundary` shingles are small: each lists the hashes of its subsets of the
-  overlap size that a partner needs, for each partner size it can have. Two small sets that
-  share such a subset overlap enough.
+  overlap size that a partner needs, for each partner size it can have, below its own and above. Two small
+  sets that link share a subset of the size that the two need.
 * Larger sets are found by inverted lists over their rarest shingles. A set of n shingles posts
   its first n - ceil(t n) + 1 in one order of all shingles, by frequency level, then by hash; two
   sets that link meet in the list of their first common shingle, at places that leave room
@@ -55,9 +55,14 @@ def need(n: int, m: int, percent: int) -> int:
     return -(-percent * (n + m) // (100 + percent))
 
 
+def subset_sizes(n: int, percent: int) -> list[int]:
+    """Overlaps that a set of n members needs, over the sizes of all partners, smaller and larger, that it can link to."""
+    return sorted({need(n, m, percent) for m in range(-(-percent * n // 100), 100 * n // percent + 1)})
+
+
 def subset_cost(n: int, percent: int) -> int:
     """Subsets that a set of n members lists, over the sizes of its partners."""
-    return sum(comb(n, c) for c in {need(n, m, percent) for m in range(n, 100 * n // percent + 1)} if c <= n)
+    return sum(comb(n, c) for c in subset_sizes(n, percent))
 
 
 def pick_boundary(list_length: float, percent: int) -> int:
@@ -158,10 +163,9 @@ def _postings(k: int, percent: int, boundary: int, level):
                     continue
                 me = _signed(_fingerprints(s)[0])
                 if n <= boundary:
-                    sizes = sorted({need(n, m, percent) for m in range(n, 100 * n // percent + 1)})
                     keys = []
                     with np.errstate(over="ignore"):
-                        for c in (c for c in sizes if c <= n):
+                        for c in subset_sizes(n, percent):
                             idx = np.array(list(combinations(range(n), c)))
                             keys.append(mix(mix(s)[idx].sum(axis=1, dtype=U64) * U64(2 * c + 1) + U64(c)))
                     keys = np.unique(np.concatenate(keys))

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+import types
 import zlib
 
 import numpy as np
@@ -82,6 +83,26 @@ def test_jaccard_groups(spark, texts, k, percent):
     assert got == {i: (len(sets[i]), want[i]) for i in ids}
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+@pytest.mark.parametrize("boundary", [0, 6, 11, 12, 20])
+def test_nested_sets_share_a_list(percent, boundary):
+    level = types.SimpleNamespace(value=zlib.compress(np.zeros(jaccard_join.WIDTH, np.uint8).tobytes()))
+    run, _ = jaccard_join._postings(4, percent, boundary, level)
+    texts = [" ".join(f"t{j}" for j in range(n + 3)) for n in range(1, 41)]
+    (out,) = run([pa.record_batch([pa.array(range(40)), pa.array(texts)], names=["doc_id", "text"])])
+    lists = collections.defaultdict(set)
+    for token, n in zip(out["token"].to_pylist(), out["n"].to_pylist(), strict=True):
+        lists[n].add(token)
+    assert sorted(lists) == list(range(1, 41))
+    assert all(lists[n] & lists[m] for n in lists for m in lists if n < m and 100 * n >= percent * m)
+
+
+def test_nested_short_texts_are_one_component(spark):
+    rows = [(100 * n + m, " ".join(f"p{n}q{j}" for j in range(m + 3))) for n in range(6, 12) for m in (n, n + 1)]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[100 * n + m] == 100 * n + n for n in range(6, 12) for m in (n, n + 1))
+
+
 def test_backoff_scores(spark, docs, texts, monkeypatch):
     monkeypatch.setattr(ngram_lm, "BATCH_BYTES", 100_000)
     got = {r["doc_id"]: r for r in ngram_lm.backoff_scores(docs).collect()}
