@@ -62,7 +62,7 @@ def op1_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff_scores(table(spark, sf_dir, "documents"))
+    return backoff_scores(table(spark, sf_dir, "documents"), least=1)
 
 
 QUERIES = {"op3_stupid_backoff": op3_stupid_backoff, "op1_html_layout": op1_html_layout, "op2_additive_ann": op2_additive_ann, "op10_passage_dedup": op10_passage_dedup, "op4_vector_near_dedup": op4_vector_near_dedup, "op8_bpe_chunks": op8_bpe_chunks, "op7_best_fit_packing": op7_best_fit_packing, "op6_toxicity": op6_toxicity, "op9_quality_rules": op9_quality_rules, "op5_ngram_jaccard_join": op5_ngram_jaccard_join}

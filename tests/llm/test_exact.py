@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from evigrain.llm import additive_ann, base, bpe_codec, html_layout, jaccard_join, ngram_lm, packing, passage_dedup, quality_rules, textops, toxicity, vector_dedup
+from evigrain.llm import additive_ann, base, bpe_codec, html_layout, jaccard_join, ngram_lm, packing, passage_dedup, quality_rules, queries, textops, toxicity, vector_dedup
 
 P = pytest.importorskip("public_tokenizers")
 DATA = "/root/testdata/sf0.001"
@@ -119,6 +119,17 @@ def test_backoff_scores(spark, docs, texts, monkeypatch):
         assert got[d]["n_words"] == len(w) and got[d]["log_score"] == pytest.approx(s, rel=1e-9, abs=1e-9)
 
 
+def test_backoff_query_counts_every_ngram(spark, docs, texts, monkeypatch):
+    monkeypatch.setattr(ngram_lm, "BATCH_BYTES", 100_000)
+    got = {r["doc_id"]: r["log_score"] for r in queries.op3_stupid_backoff(spark, DATA).collect()}
+    words = {i: WORD.findall(t.translate(LOWER)) for i, t in texts.items()}
+    count = [collections.Counter(tuple(w[i : i + n]) for w in words.values() for i in range(len(w) - n + 1)) for n in range(4)]
+    for d, w in words.items():
+        top = [min(3, i + 1) for i in range(len(w))]
+        s = sum(math.log(count[n][tuple(w[i - n + 1 : i + 1])] / (sum(count[1].values()) if n == 1 else count[n - 1][tuple(w[i - n + 1 : i])])) for i, n in enumerate(top))
+        assert got[d] == pytest.approx(s, rel=1e-9, abs=1e-9)
+
+
 def test_codec_round_trip(spark, texts):
     from tokenizers import Tokenizer
 
