@@ -5,11 +5,12 @@ Two kinds of units are compared across documents, both on words as in the shingl
 * Paragraphs (lines) of at least `least_words` words: MinHash signatures of their 5-word shingles are cut into bands, tuned for
   a recall of RECALL at the threshold at least cost; colliding paragraphs are verified by their exact
   Jaccard index (at least `percent`), and links are clustered into components.
-* Segments: content-defined runs of some SEGMENT words within a line, so that a passage set into other text is cut
-  alike wherever it stands. Equal segments collide; their class is the component of a band of all shingles.
+* Runs of `least_words` words: every such run of a document that one earlier document also has, word for word, wherever
+  either stands. A run's seed is the least hash of its shorter shingles, so equal runs have equal seeds and
+  neighbouring runs mostly share one; only runs whose seed stands in two documents are compared, by the hash of all their words.
 
-Of each component the occurrences in its first document (smallest doc_id) stay. In later documents adjacent
-repeated segments join to runs; runs of at least `least_words` words and repeated paragraphs are removed, the rest of
+The occurrences in the first document (smallest doc_id) of a component, or of a run, stay. In later documents all words of
+repeated runs and repeated paragraphs are removed, the rest of
 the text stays as it is byte for byte, but for line ends next to lines that go whole.
 
 Nulls and edges: a null text stays null and an empty text stays empty, with nothing removed; rows with a null doc_id keep their text;
@@ -31,8 +32,6 @@ from . import base, buckets
 from .textops import U64, hash_words, mix, shingle_hashes, string_buffers
 
 LEAST_WORDS, PERCENT, RECALL = 24, 80, 0.995
-#: A segment ends after a word whose hash, with the one before, is 0 modulo this; or after LONGEST words.
-SEGMENT, LONGEST = 6, 64
 FILTER_BITS = 1 << 23
 
 
@@ -48,32 +47,37 @@ def tune_bands(threshold: float, recall: float, most: int = 64) -> tuple[int, in
     return bands, -rows
 
 
-def units_of(data: np.ndarray, offs: np.ndarray, least: int):
-    """Of each text: paragraphs and segments, by their words.
-
-    Returns (hashes, starts, ends, line_begin, segment_begin, ptr): words with their byte spans, and the first words of
-    lines and of segments, as places in the words of all texts.
-    """
+def units_of(data: np.ndarray, offs: np.ndarray):
+    """Of all texts' words: (hashes, starts, ends, line_begin, ptr), with byte spans and the first words of lines."""
     h, ptr, starts, ends = hash_words(data, offs, spans=True)
     n = len(h)
     if not n:
-        e = np.empty(0, np.int64)
-        return h, starts, ends, e, e, ptr
+        return h, starts, ends, np.empty(0, np.int64), ptr
     breaks = np.cumsum(data == 10)
     line = np.zeros(n, bool)
     line[1:] = breaks[starts[1:]] != breaks[starts[:-1]]
     line[ptr[:-1][np.diff(ptr) > 0]] = True
-    pair = h.copy()
-    with np.errstate(over="ignore"):
-        pair[1:] = mix(h[1:] * U64(3) + h[:-1])
-    cut = line.copy()
-    cut[1:] |= pair[:-1] % U64(SEGMENT) == 0
-    at = np.flatnonzero(cut)
-    size = np.diff(np.append(at, n))
-    if (size > LONGEST).any():
-        more = [np.arange(a + LONGEST, a + s, LONGEST) for a, s in zip(at[size > LONGEST], size[size > LONGEST], strict=True)]
-        at = np.sort(np.concatenate([at, *more]))
-    return h, starts, ends, np.flatnonzero(line), at, ptr
+    return h, starts, ends, np.flatnonzero(line), ptr
+
+
+def _within(n: int, ptr: np.ndarray, least: int) -> np.ndarray:
+    """Words of n at which a run of `least` words begins that ends in the same text."""
+    left = np.repeat(ptr[1:], np.diff(ptr)) - np.arange(n)
+    return np.flatnonzero(left >= least)
+
+
+def seeds_of(h: np.ndarray, ptr: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first words, seeds) of all runs of `least` words within a text: the least hash of the run's shingles of half its length."""
+    half = (least + 1) // 2
+    low = shingle_hashes(h, half)
+    room = len(h) - least + 1
+    if room <= 0:
+        return np.empty(0, np.int64), np.empty(0, U64)
+    seed = low[:room].copy()
+    for j in range(1, least - half + 1):
+        np.minimum(seed, low[j : j + room], out=seed)
+    at = _within(len(h), ptr, least)
+    return at, seed[at]
 
 
 def run_hashes(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -92,16 +96,20 @@ def _paragraphs(h: np.ndarray, begin: np.ndarray, least: int):
 
 
 def _census(least: int, percent: int, k: int):
-    """Rows of kind 0: a segment; 1: a band of a paragraph; 2: a paragraph."""
+    """Rows of kind 0: a seed of a document; 1: a band of a paragraph; 2: a paragraph."""
     schema = "kind int, key long, fp long, n int, doc_id long, place int"
     bands, rows = tune_bands(percent / 100, RECALL)
     seeds = np.random.default_rng(5).integers(1, 2**62, bands * rows).astype(U64) * U64(2) + U64(1)
 
     def some(ids, data, offs):
-        h, _, _, lines, segs, ptr = units_of(data, offs, least)
+        h, _, _, lines, ptr = units_of(data, offs)
         out = []
-        doc = np.searchsorted(ptr, segs, side="right") - 1
-        out.append((np.zeros(len(segs), np.int32), run_hashes(h, segs).view(np.int64), np.zeros(len(segs), np.int64), np.zeros(len(segs), np.int32), ids[doc], np.zeros(len(segs), np.int32)))
+        at, seed = seeds_of(h, ptr, least)
+        doc = np.searchsorted(ptr, at, side="right") - 1
+        new = np.ones(len(at), bool)
+        new[1:] = (seed[1:] != seed[:-1]) | (doc[1:] != doc[:-1])
+        m = int(new.sum())
+        out.append((np.zeros(m, np.int32), seed[new].view(np.int64), np.zeros(m, np.int64), np.zeros(m, np.int32), ids[doc[new]], np.zeros(m, np.int32)))
         which, size = _paragraphs(h, lines, least)
         fps = run_hashes(h, lines).view(np.int64)
         sh = shingle_hashes(h, k)
@@ -157,7 +165,7 @@ def _sets(least: int, k: int, bits):
                 continue
             data, offs = string_buffers(b.column(0))
             for i, j in _pieces(offs):
-                h, _, _, lines, _, _ = units_of(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], least)
+                h, _, _, lines, _ = units_of(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
                 which, size = _paragraphs(h, lines, least)
                 fps, sh = run_hashes(h, lines).view(np.int64), shingle_hashes(h, k)
                 yield pa.RecordBatch.from_arrays([pa.array(fps[which]), pa.array([np.unique(sh[lines[w] : lines[w] + size[w] - k + 1]).tobytes() for w in which], pa.binary())], names=["fp", "shingles"])
@@ -199,22 +207,36 @@ def _verify(docs: DataFrame, where: DataFrame, pairs: DataFrame, least: int, per
     return links
 
 
+def _runs(least: int):
+    """The hashes of the runs of each document whose seed another document has too."""
+    schema = "key long, doc_id long"
+
+    def run(batches):
+        for b in batches:
+            data, offs = string_buffers(b.column(1))
+            for i in range(b.num_rows):
+                h, ptr = hash_words(data[offs[i] : offs[i + 1]], np.array([0, offs[i + 1] - offs[i]]))
+                at, seed = seeds_of(h, ptr, least)
+                shared = b.column(2)[i].values.to_numpy(zero_copy_only=False)
+                own = np.unique(shingle_hashes(h, least)[at[np.isin(seed.view(np.int64), shared)]])
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(np.full(len(own), b.column(0)[i].as_py(), np.int64))], names=["key", "doc_id"])
+
+    return run, schema
+
+
 def spans_to_cut(data: np.ndarray, repeated: np.ndarray, paragraphs: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Byte spans of one text to remove: runs of repeated segments of at least `least` words, and repeated paragraphs.
+    """Byte spans of one text to remove: the words of runs that an earlier document has, and repeated paragraphs.
 
-    repeated: sorted segment hashes that an earlier document has; paragraphs: numbers of the repeated lines with words.
+    repeated: hashes of those runs of `least` words; paragraphs: numbers of the repeated lines with words.
     """
-    h, starts, ends, lines, segs, _ = units_of(data, np.array([0, len(data)]), least)
+    h, starts, ends, lines, _ = units_of(data, np.array([0, len(data)]))
     if not len(h):
         return []
-    cut = np.zeros(len(h) + 1, bool)
-    size = np.diff(np.append(segs, len(h)))
-    own = run_hashes(h, segs).view(np.int64)
-    cut[:-1] = np.repeat(np.isin(own, repeated), size)
-    edge = np.flatnonzero(np.diff(cut, prepend=False))
-    for a, b in zip(edge[::2], edge[1::2], strict=True):
-        if b - a < least:
-            cut[a:b] = False
+    again = np.flatnonzero(np.isin(shingle_hashes(h, least).view(np.int64), repeated))
+    change = np.zeros(len(h) + 1, np.int64)
+    change[again] += 1
+    change[again + least] -= 1
+    cut = np.cumsum(change) > 0
     stop = np.append(lines[1:], len(h))
     for p in paragraphs:
         if p < len(lines):
@@ -238,13 +260,13 @@ def cut_text(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def _cutter(least: int):
-    """The new text of (text, segments, paragraphs), how many spans went, their bytes, and the spans."""
+    """The new text of (text, runs, paragraphs), how many spans went, their bytes, and the spans."""
 
-    def measure(texts, segments, paragraphs):
+    def measure(texts, runs, paragraphs):
         rows = []
-        for text, segs, paras in zip(texts.to_pylist(), segments.to_pylist(), paragraphs.to_pylist(), strict=True):
+        for text, again, paras in zip(texts.to_pylist(), runs.to_pylist(), paragraphs.to_pylist(), strict=True):
             raw = (text or "").encode()
-            spans = spans_to_cut(np.frombuffer(raw, np.uint8), np.array(segs or [], np.int64), np.array(paras or [], np.int64), least) if raw and (segs or paras) else []
+            spans = spans_to_cut(np.frombuffer(raw, np.uint8), np.array(again or [], np.int64), np.array(paras or [], np.int64), least) if raw and (again or paras) else []
             new = cut_text(raw, spans) if spans else raw
             rows.append((None if text is None else new.decode(), len(spans), len(raw) - len(new), [{"start": s, "length": e - s} for s, e in spans]))
         cols = list(zip(*rows, strict=True)) if rows else [()] * 4
@@ -254,13 +276,18 @@ def _cutter(least: int):
 
 
 def repeated_units(docs: DataFrame, least: int = LEAST_WORDS, percent: int = PERCENT, k: int = 5) -> DataFrame:
-    """(doc_id, segments, paragraphs): what each document repeats of an earlier one."""
+    """(doc_id, runs, paragraphs): what each document repeats of an earlier one."""
     run, schema = _census(least, percent, k)
     found, found_path = base.stored(docs.where("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, schema), "units")
-    segs = found.where("kind = 0").select("key", "doc_id")
-    first = segs.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("key", "first")
-    segs = segs.join(first, "key").where("doc_id > first").select("doc_id", "key").distinct()
-    segs, _ = base.stored(segs, "segments")
+    seeds = found.where("kind = 0").select("key", "doc_id")
+    shared = seeds.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("key")
+    seeds = seeds.join(shared, "key").groupBy(F.col("doc_id").alias("d")).agg(F.collect_set("key").alias("seeds"))
+    run, schema = _runs(least)
+    runs = docs.where("text is not null").join(seeds, F.col("doc_id") == F.col("d")).select("doc_id", "text", "seeds").mapInArrow(run, schema)
+    runs, runs_path = base.stored(runs, "runs")
+    first = runs.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("key", "first")
+    repeated, _ = base.stored(runs.join(first, "key").where("doc_id > first").select("doc_id", "key").distinct(), "repeated-runs")
+    base.drop_path(docs.sparkSession, runs_path)
     base.sweep(docs.sparkSession)
     paras = found.where("kind = 2").select("fp", "doc_id", "n", "place")
     where = paras.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"))
@@ -272,11 +299,11 @@ def repeated_units(docs: DataFrame, least: int = LEAST_WORDS, percent: int = PER
     placed = where.join(comp, where["fp"] == comp["node"], "left").select("fp", "doc_id", "last", F.coalesce("component", "fp").alias("c"))
     placed, _ = base.stored(placed, "paragraphs")
     start = placed.groupBy("c").agg(F.min("doc_id").alias("first"), F.max("last").alias("last")).where("first < last").select("c", "first")
-    again = placed.join(start, "c").select(F.col("fp").alias("f"), "first")
-    lines = paras.join(again, F.col("fp") == F.col("f")).where("doc_id > first").select("doc_id", "place").distinct()
-    segs = segs.groupBy("doc_id").agg(F.collect_list("key").alias("segments"))
+    copies = placed.join(start, "c").select(F.col("fp").alias("f"), "first")
+    lines = paras.join(copies, F.col("fp") == F.col("f")).where("doc_id > first").select("doc_id", "place").distinct()
+    again = repeated.groupBy("doc_id").agg(F.collect_list("key").alias("runs"))
     lines = lines.groupBy(F.col("doc_id").alias("d")).agg(F.collect_list("place").alias("paragraphs"))
-    out = segs.join(lines, F.col("doc_id") == F.col("d"), "full").select(F.coalesce("doc_id", "d").alias("repeats_of"), "segments", "paragraphs")
+    out = again.join(lines, F.col("doc_id") == F.col("d"), "full").select(F.coalesce("doc_id", "d").alias("repeats_of"), "runs", "paragraphs")
     out, _ = base.stored(out, "repeats")
     base.drop_path(docs.sparkSession, found_path)
     base.sweep(docs.sparkSession)
@@ -290,7 +317,7 @@ def dedup_passages(docs: DataFrame, least: int = LEAST_WORDS, percent: int = PER
     out = repeated_units(docs, least, percent)
     full = docs.join(out, F.col("doc_id") == F.col("repeats_of"), "left")
     measure, fields = _cutter(least)
-    return base.beside(full, ["text", "segments", "paragraphs"], measure, fields).select("doc_id", F.col("new_text").alias("text"), "n_removed", "removed_bytes", "spans")
+    return base.beside(full, ["text", "runs", "paragraphs"], measure, fields).select("doc_id", F.col("new_text").alias("text"), "n_removed", "removed_bytes", "spans")
 
 
 def dedup_table(docs: DataFrame, least: int = LEAST_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -302,6 +329,6 @@ def dedup_table(docs: DataFrame, least: int = LEAST_WORDS, percent: int = PERCEN
     full = wide.join(out, at["doc_id"].cast("long") == F.col("repeats_of"), "left")
     measure, fields = _cutter(least)
     text = f"c{docs.columns.index('text')}"
-    full = base.beside(full, [text, "segments", "paragraphs"], measure, fields)
+    full = base.beside(full, [text, "runs", "paragraphs"], measure, fields)
     new = {"text": F.col("new_text"), "n_chars": F.length("new_text").cast("long")}
     return full.select(*[new.get(n, at[n]).alias(n) for n in docs.columns])

@@ -208,6 +208,18 @@ def test_passages(spark):
     assert all(got[i]["text"] == t for i, t in clean)
 
 
+def test_passages_of_any_length_and_place_go_whole(spark):
+    rng = np.random.default_rng(8)
+    word = lambda n: " ".join(f"v{i}" for i in rng.integers(0, 10**6, n))
+    rows, want = [], {}
+    for i in range(300):
+        p, sides = word(24 + i % 40), [word(40) for _ in range(4)]
+        rows += [(2 * i, f"{sides[0]} {p} {sides[1]}"), (2 * i + 1, f"{sides[2]} {p} {sides[3]}")]
+        want |= {2 * i: rows[-2][1], 2 * i + 1: f"{sides[2]} {sides[3]}"}
+    got = {r["doc_id"]: r["text"] for r in passage_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def test_near_paragraphs_cluster(spark):
     w = [f"u{i}" for i in range(120)]
     rows = [(i, " ".join(x if j != 7 * i else f"e{i}" for j, x in enumerate(w))) for i in range(4)]
