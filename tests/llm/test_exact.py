@@ -220,6 +220,17 @@ def test_passages_of_any_length_and_place_go_whole(spark):
     assert got == want
 
 
+def test_pieces_of_different_documents_are_no_passage(spark):
+    line = lambda i: " ".join(f"p{i}w{j}" for j in range(6))
+    rows = [(i, f"{line(100 + i)}\n{line(i)}\n{line(200 + i)}") for i in range(20)]
+    mosaic = "\n".join(line(i) for i in range(20))
+    passage = "\n".join([line(300), line(3), line(301), line(5), line(302)])
+    rows += [(50, mosaic), (60, f"{line(400)}\n{passage}\n{line(401)}"), (61, f"{line(500)}\n{passage}\n{line(501)}")]
+    got = {r["doc_id"]: r["text"] for r in passage_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got.pop(61) == f"{line(500)}\n{line(501)}"
+    assert got == dict(rows[:-1])
+
+
 def test_near_paragraphs_cluster(spark):
     w = [f"u{i}" for i in range(120)]
     rows = [(i, " ".join(x if j != 7 * i else f"e{i}" for j, x in enumerate(w))) for i in range(4)]
