@@ -5,10 +5,11 @@ fitted one after the other to what the earlier ones leave over, on a bounded sam
 search, which keeps BEAM partial sums a vector. The index holds every vector's codes, and its norm
 beside its code's norm. A query builds a table of inner products with all codewords; a vector's
 score is the sum of its codes' entries, scaled by its stored norms. The best SHORTLIST of each block of the index
-are rescored with the original vectors in double precision.
+are rescored with the original vectors in double precision. The index holds each distinct vector once, with its k + 1
+smallest vec_ids, which is all that any query can return; they come out after rescoring, so copies never crowd the shortlist.
 
 Queries are taken in groups of QUERY_GROUP, which bounds what is broadcast; each group meets every block
-of the index, and a block sends back its best k alone. Every vector is indexed; nothing is capped but the shortlist, whose recall tests measure.
+of the index, and a block sends back its best k alone. Every distinct vector is indexed; nothing is capped but the shortlist, whose recall tests measure.
 
 Nulls and edges: vectors that are null, zero or hold null or non-finite components take no part, nor does a null
 vec_id or a vector of another length than the most common one. Ties go to the smaller vec_id. Of repeated rows with one vec_id one counts: the smallest by
@@ -88,7 +89,7 @@ def _as_matrix(blobs) -> np.ndarray:
 
 
 def _index(books):
-    schema = "vec_id long, vec binary, codes binary, scale double"
+    schema = "ids array<long>, vec binary, codes binary, scale double"
 
     def run(batches):
         for b in batches:
@@ -96,7 +97,7 @@ def _index(books):
             codes = encode(x, books.value)
             norm, got = np.linalg.norm(x, axis=1), np.linalg.norm(decode(codes, books.value), axis=1)
             scale = np.where(got > 0, norm / np.maximum(got, 1e-30), 1.0)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(scale)], names=["vec_id", "vec", "codes", "scale"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(scale)], names=["ids", "vec", "codes", "scale"])
 
     return run, schema
 
@@ -104,24 +105,28 @@ def _index(books):
 def _search(queries, books, k: int, shortlist: int):
     schema = "query_id long, vec_id long, score double"
 
-    def block(ids, x, codes, scale):
+    def block(ids, many, x, codes, scale):
+        first = np.cumsum(many) - many
         qid, q = queries.value
         c = books.value
         for at in range(0, len(qid), 64):
             some = q[at : at + 64]
             table = np.einsum("qd,mkd->mqk", some.astype(np.float32), c, optimize=True)
-            score = np.zeros((len(some), len(ids)), np.float32)
+            score = np.zeros((len(some), len(x)), np.float32)
             for j in range(len(c)):
                 score += table[j][:, codes[:, j]]
             score *= scale.astype(np.float32)
-            n = min(shortlist, len(ids))
+            n = min(shortlist, len(x))
             near = np.argpartition(-score, n - 1, axis=1)[:, :n]
             rows = []
             for i in range(len(some)):
-                own = near[i][ids[near[i]] != qid[at + i]]
-                exact = (x[own] * some[i]).sum(axis=1)
-                best = np.lexsort((ids[own], -exact))[:k]
-                rows.append((np.full(len(best), qid[at + i]), ids[own][best], exact[best]))
+                some_of = many[near[i]]
+                exact = np.repeat((x[near[i]] * some[i]).sum(axis=1), some_of)
+                own = ids[np.arange(len(exact)) + np.repeat(first[near[i]] - (np.cumsum(some_of) - some_of), some_of)]
+                other = own != qid[at + i]
+                own, exact = own[other], exact[other]
+                best = np.lexsort((own, -exact))[:k]
+                rows.append((np.full(len(best), qid[at + i]), own[best], exact[best]))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c_)) for c_ in zip(*rows, strict=True)], names=["query_id", "vec_id", "score"])
 
     def run(batches):
@@ -141,7 +146,8 @@ def _search(queries, books, k: int, shortlist: int):
 def _blocks(held, block, m):
     t = pa.Table.from_batches(held)
     codes = np.frombuffer(b"".join(t["codes"].to_pylist()), np.uint8).reshape(-1, m)
-    yield from block(t["vec_id"].to_numpy(), _as_matrix(t["vec"]), codes, t["scale"].to_numpy())
+    ids = t["ids"].combine_chunks()
+    yield from block(ids.flatten().to_numpy(), ids.value_lengths().to_numpy().astype(np.int64), _as_matrix(t["vec"]), codes, t["scale"].to_numpy())
 
 
 def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
@@ -155,7 +161,7 @@ def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
     def run(batches):
         for b in batches:
             e = b.column(1)
-            x = e.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, -1)
+            x = e.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, -1) + 0.0  # no negative zeros: equal vectors have equal bytes
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([v.tobytes() for v in x], pa.binary())], names=["vec_id", "vec"])
 
     out = good.where(F.size("e") == dim).mapInArrow(run, "vec_id long, vec binary")
@@ -177,7 +183,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, shortlist: int =
     books = spark.sparkContext.broadcast(fit_codebooks(np.array(sample).reshape(len(sample), dim)))
     run, schema = _index(books)
     parts = max(1, min(256, -(-n // BLOCK)))
-    index, _ = base.stored(found.mapInArrow(run, schema).repartition(parts), "index")
+    copy = F.row_number().over(Window.partitionBy("vec").orderBy("vec_id"))
+    one_each = found.withColumn("copy", copy).where(F.col("copy") <= k + 1).groupBy("vec").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).select("ids", "vec")
+    index, _ = base.stored(one_each.mapInArrow(run, schema).repartition(parts), "index")
     asked = found.where(is_query).withColumn("group", F.pmod(F.xxhash64("vec_id"), F.lit(-(-n // QUERY_GROUP))))
     groups = sorted(r["group"] for r in asked.select("group").distinct().collect())
     empty = spark.createDataFrame([], "query_id long, vec_id long, score double")

@@ -192,6 +192,19 @@ def test_search_recall(spark):
     assert hit >= 0.9 * 20 * got["query_id"].nunique()
 
 
+def test_many_copies_of_a_vector_tie_to_the_smallest_ids(spark):
+    rng = np.random.default_rng(7)
+    x = np.vstack([np.repeat(rng.normal(size=(1, 16)), 1500, axis=0), rng.normal(size=(100, 16))])
+    ids = rng.permutation(len(x))
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>")
+    got = additive_ann.nearest(df, F.col("vec_id") % 200 == 0, k=20).toPandas()
+    by_id = x[np.argsort(ids)]
+    for q, own in got.groupby("query_id"):
+        s = (by_id * by_id[q]).sum(axis=1)
+        s[q] = -np.inf
+        assert own.sort_values("rank")["vec_id"].tolist() == np.lexsort((np.arange(len(s)), -s))[:20].tolist()
+
+
 def test_passages(spark):
     rng = np.random.default_rng(4)
     word = lambda n: " ".join(f"v{i}" for i in rng.integers(0, 10**6, n))
