@@ -120,13 +120,18 @@ def _census(least: int, percent: int, k: int):
             doc = np.searchsorted(ptr, first, side="right") - 1
             place = which - np.searchsorted(lines, ptr[:-1])[doc]
             m = len(which)
-            out.append((np.full(m, 2, np.int32), np.zeros(m, np.int64), fps[which], count.astype(np.int32), ids[doc], place.astype(np.int32)))
+            of = np.repeat(np.arange(m), count)
+            order = np.lexsort((own, of))
+            fresh = np.ones(len(own), bool)
+            fresh[1:] = (own[order][1:] != own[order][:-1]) | (of[1:] != of[:-1])
+            distinct = np.bincount(of[fresh], minlength=m).astype(np.int32)
+            out.append((np.full(m, 2, np.int32), np.zeros(m, np.int64), fps[which], distinct, ids[doc], place.astype(np.int32)))
             with np.errstate(over="ignore"):
                 for b in range(bands):
                     key = np.full(m, b + 1, U64)
                     for r in range(rows):
                         key = mix(key * U64(31) + np.minimum.reduceat(mix_light(own * seeds[b * rows + r]), begin))
-                    out.append((np.ones(m, np.int32), key.view(np.int64), fps[which], count.astype(np.int32), np.zeros(m, np.int64), np.zeros(m, np.int32)))
+                    out.append((np.ones(m, np.int32), key.view(np.int64), fps[which], distinct, np.zeros(m, np.int64), np.zeros(m, np.int32)))
         return [np.concatenate(c) for c in zip(*out, strict=True)]
 
     def run(batches):

@@ -251,6 +251,14 @@ def test_near_paragraphs_cluster(spark):
     assert got[0] == rows[0][1] and all(got[i] == "" for i in (1, 2, 3))
 
 
+def test_paragraph_that_says_twice_what_another_says_once(spark):
+    w = [f"u{i}" for i in range(120)]
+    twice = " ".join([*w[:60], "else", *w[61:]] * 2)
+    rows = [(0, " ".join(w)), (1, twice)]
+    got = {r["doc_id"]: r["text"] for r in passage_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: rows[0][1], 1: ""}
+
+
 def test_quality_on_held_out(spark):
     d, lab = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     p = quality_rules.quality_scores(d, lab).join(lab, "doc_id").toPandas()
