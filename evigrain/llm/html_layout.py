@@ -4,7 +4,8 @@
   references, and raw-text elements, whose content is not markup. A stray `<` is text.
 * The tree builder closes elements that others imply to end (p before blocks; li, dt, dd, option, rows and cells before
   their like), ignores end tags without a start, and closes what a parent's end leaves open.
-* Hidden are: head and what only belongs there, scripts, styles, templates, embedded and form-control fallbacks, elements with the
+* Hidden are: head and what only belongs there, scripts, styles, templates, fallbacks of embedded media, what svg and math
+  hold but do not draw (descriptions, definitions, annotations), elements with the
   hidden attribute, inputs, closed dialogs, and inline styles of display:none or visibility:hidden|collapse
   (visibility:visible shows again inside).
 * The layout collapses blanks, gives blocks lines of their own and paragraphs, headings, lists and tables a blank line
@@ -31,7 +32,9 @@ DEEPEST, WIDEST, GAP = 120, 60, "  "
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes".split())
 RAW_WITH_REFERENCES = frozenset("textarea title".split())
-HIDDEN = frozenset("head title script style template noscript iframe noembed noframes object audio video canvas datalist base link meta param source track area map svg math select textarea input xmp".split()) - {"xmp"}
+HIDDEN = frozenset("head title script style template noscript iframe noembed noframes object audio video canvas datalist base link meta param source track area map input".split())
+FOREIGN = frozenset(["svg", "math"])
+UNDRAWN = frozenset("desc metadata defs symbol annotation annotation-xml".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li listing main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul xmp".split())
 SPACED = frozenset("blockquote dl fieldset figure h1 h2 h3 h4 h5 h6 hr listing menu ol p pre table ul xmp dir".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr listing main menu nav ol p pre search section summary table ul xmp li dd dt".split())
@@ -119,7 +122,7 @@ def build(source: str) -> Node:
             attrs.setdefault(a[1].lower(), _html.unescape(next((v for v in a.groups()[1:] if v is not None), "")))
         node = Node(tag, attrs)
         stack[-1].inside.append(node)
-        if tag in VOID:
+        if tag in VOID or m[3].endswith("/") and any(n.tag in FOREIGN for n in [*stack, node]):
             continue
         if tag in RAW or tag in RAW_WITH_REFERENCES:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(source, at)
@@ -188,8 +191,11 @@ class Layout:
         return "\n".join(lines)
 
 
-def lay(node: Node, out: Layout, shown: bool = True, pre: bool = False, depth: int = 0) -> None:
+def lay(node: Node, out: Layout, shown: bool = True, pre: bool = False, depth: int = 0, foreign: bool = False) -> None:
     tag = node.tag
+    if foreign and tag in UNDRAWN:
+        return
+    foreign |= tag in FOREIGN
     style = style_of(node) if "style" in node.attrs else {}
     if tag in HIDDEN or "hidden" in node.attrs or style.get("display") == "none" or (tag == "dialog" and "open" not in node.attrs):
         return
@@ -218,7 +224,7 @@ def lay(node: Node, out: Layout, shown: bool = True, pre: bool = False, depth: i
         out.gap = True
         return
     white = style.get("white-space", "")
-    pre = tag in ("pre", "listing", "xmp") or white in ("pre", "pre-wrap", "break-spaces") or (pre and white != "normal")
+    pre = tag in ("pre", "listing", "xmp", "textarea") or white in ("pre", "pre-wrap", "break-spaces") or (pre and white != "normal")
     indent, marker = out.indent, out.marker
     number = _number(node.attrs.get("start"), 1) if tag == "ol" else None
     if tag in ("blockquote", "dd"):
@@ -228,7 +234,7 @@ def lay(node: Node, out: Layout, shown: bool = True, pre: bool = False, depth: i
             if not shown:
                 continue
             if pre:
-                _keep(x[1:] if k == 0 and tag in ("pre", "listing") and x[:1] == "\n" else x, out)
+                _keep(x[1:] if k == 0 and tag in ("pre", "listing", "textarea") and x[:1] == "\n" else x, out)
             else:
                 out.inline(x)
         elif x.tag == "li":
@@ -248,7 +254,7 @@ def lay(node: Node, out: Layout, shown: bool = True, pre: bool = False, depth: i
             out.indent = inner
             number = None if number is None else number + 1
         else:
-            lay(x, out, shown, pre, depth + (tag in ("ul", "ol", "menu", "dir")))
+            lay(x, out, shown, pre, depth + (tag in ("ul", "ol", "menu", "dir")), foreign)
     if is_block:
         out.block(spaced)
     out.indent = indent

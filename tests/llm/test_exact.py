@@ -326,6 +326,21 @@ def test_layout(source, want):
     assert html_layout.render(source) == want
 
 
+DRAWN = [
+    ("<p>area is <math><mi>x</mi><mo>=</mo><mn>3</mn></math></p>", "area is x=3"),
+    ("<p>sum <math><semantics><mi>y</mi><annotation>no</annotation></semantics></math>", "sum y"),
+    ("a <svg><title>no</title><desc>no</desc><defs/><style/><path d='M0'/><text>label</text></svg> b", "a label b"),
+    ("<select><option>one<option>two</select>", "one\ntwo"),
+    ("<textarea>\nkept   as\n  is</textarea>", "kept   as\n  is"),
+    ("<video>no</video><noscript>no</noscript><datalist><option>no</datalist>yes", "yes"),
+]
+
+
+@pytest.mark.parametrize("source,want", DRAWN)
+def test_text_that_browsers_draw_comes_out(source, want):
+    assert html_layout.render(source) == want
+
+
 def test_all_visible_words_come_out(spark):
     rows = spark.read.parquet(f"{DATA}/pages.parquet").collect()
     for r in rows:
