@@ -12,8 +12,8 @@
   around, marks list items with bullets or numbers and indents nested ones, keeps preformatted text,
   and aligns table cells in columns, spans included; a column pads to WIDEST characters at most, longer cells run over it whole.
 
-Nulls and edges: null html gives null text; empty html, or html without visible text, gives ''. Elements nested deeper than
-DEEPEST are built as siblings at that depth; their text is kept. Rows are independent: repeated pages, null ids and ties
+Nulls and edges: null html gives null text; empty html, or html without visible text, gives ''. Elements nest to any
+depth; only the blanks that indent lists and quotes end at DEEPEST. Rows are independent: repeated pages, null ids and ties
 need no rule; other columns are ignored.
 """
 
@@ -21,13 +21,15 @@ from __future__ import annotations
 
 import html as _html
 import re
+from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import base
 
-DEEPEST, WIDEST, GAP = 120, 60, "  "
+DEEPEST, WIDEST, GAP = 240, 60, "  "
 # fixed values of the HTML standard: element names by their role
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes".split())
@@ -72,22 +74,30 @@ def build(source: str) -> Node:
     """The tree of a page. Text is str, elements are Node."""
     root = Node("html")
     stack = [root]
+    opened = Counter(["html"])
     at = 0
 
+    def push(node: Node) -> None:
+        stack.append(node)
+        opened[node.tag] += 1
+
+    def cut(i: int) -> None:
+        opened.subtract(n.tag for n in stack[i:])
+        del stack[i:]
+
     def text(s: str) -> None:
         if s:
             if stack[-1].tag == "head" and s.strip():
-                stack.pop()
+                cut(-1)
             stack[-1].inside.append(s)
 
     def close(names: frozenset, stop: frozenset) -> None:
+        if not any(opened[n] for n in names):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in names:
-                del stack[i:]
-                if stack[-1].tag in names and stack[-1].tag != "html":
-                    continue
-                return close(names, stop) if len(stack) > 1 else None
-            if stack[i].tag in stop:
+                cut(i)
+            elif stack[i].tag in stop:
                 return
 
     for m in _MARKUP.finditer(source):
@@ -99,20 +109,20 @@ def build(source: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            if tag in ("p", "br") and not any(n.tag == tag for n in stack):
+            if tag in ("p", "br") and not opened[tag]:
                 stack[-1].inside.append(Node(tag))  # the standard makes an empty element of these stray ends
                 continue
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[i].tag == tag:
-                    del stack[i:]
+                    cut(i)
                     break
                 if stack[i].tag in ("td", "th", "caption") and tag not in ("table", "tr", "tbody", "thead", "tfoot", "td", "th", "caption", "body", "html"):
                     break
             continue
-        if tag in ("html",) or tag == "body" and any(n.tag == "body" for n in stack):
+        if tag in ("html",) or tag == "body" and opened["body"]:
             continue
         if stack[-1].tag == "head" and tag not in HEAD_ONLY:
-            stack.pop()
+            cut(-1)
         if tag in CLOSES_P:
             close(frozenset(["p"]), _SCOPE | {"li"} if tag != "li" else _SCOPE)
         if tag in ENDS:
@@ -122,7 +132,7 @@ def build(source: str) -> Node:
             attrs.setdefault(a[1].lower(), _html.unescape(next((v for v in a.groups()[1:] if v is not None), "")))
         node = Node(tag, attrs)
         stack[-1].inside.append(node)
-        if tag in VOID or m[3].endswith("/") and any(n.tag in FOREIGN for n in [*stack, node]):
+        if tag in VOID or m[3].endswith("/") and (tag in FOREIGN or any(opened[n] for n in FOREIGN)):
             continue
         if tag in RAW or tag in RAW_WITH_REFERENCES:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(source, at)
@@ -130,8 +140,7 @@ def build(source: str) -> Node:
             node.inside.append(_html.unescape(raw) if tag in RAW_WITH_REFERENCES else raw)
             at = end.end() if end else len(source)
             continue
-        if len(stack) < DEEPEST:
-            stack.append(node)
+        push(node)
     text(_html.unescape(source[at:]))
     return root
 
@@ -191,7 +200,18 @@ class Layout:
         return "\n".join(lines)
 
 
-def lay(node: Node, out: Layout, shown: bool = True, pre: bool = False, depth: int = 0, foreign: bool = False) -> None:
+def lay(node: Node, out: Layout) -> None:
+    """Lay out a tree of any depth: each step of _lay or table yields the steps inside it, which are run first."""
+    steps = [_lay(node, out)]
+    while steps:
+        inner = next(steps[-1], None)
+        if inner is None:
+            steps.pop()
+        else:
+            steps.append(inner)
+
+
+def _lay(node: Node, out: Layout, shown: bool = True, pre: bool = False, depth: int = 0, foreign: bool = False) -> Iterator:
     tag = node.tag
     if foreign and tag in UNDRAWN:
         return
@@ -217,7 +237,7 @@ def lay(node: Node, out: Layout, shown: bool = True, pre: bool = False, depth: i
     if is_block:
         out.block(spaced)
     if tag == "table":
-        table(node, out, shown, depth)
+        yield from table(node, out, shown, depth)
         out.block(True)
         return
     if tag == "hr":
@@ -228,7 +248,7 @@ def lay(node: Node, out: Layout, shown: bool = True, pre: bool = False, depth: i
     indent, marker = out.indent, out.marker
     number = _number(node.attrs.get("start"), 1) if tag == "ol" else None
     if tag in ("blockquote", "dd"):
-        out.indent, out.marker = indent + "  ", ""
+        out.indent, out.marker = (indent + "  ")[:DEEPEST], ""
     for k, x in enumerate(node.inside):
         if isinstance(x, str):
             if not shown:
@@ -245,16 +265,16 @@ def lay(node: Node, out: Layout, shown: bool = True, pre: bool = False, depth: i
                 number = _number(x.attrs.get("value"), number)
             bullet = f"{number}. " if number is not None else "- "
             inner = out.indent
-            out.marker, out.indent = inner + bullet, inner + " " * len(bullet)
+            out.marker, out.indent = inner + bullet, (inner + " " * len(bullet))[:DEEPEST]
             before = len(out.lines)
-            lay(x, out, shown, pre, depth + 1)
+            yield _lay(x, out, shown, pre, depth + 1)
             out.end_line()
             if len(out.lines) == before:
                 out.marker = ""
             out.indent = inner
             number = None if number is None else number + 1
         else:
-            lay(x, out, shown, pre, depth + (tag in ("ul", "ol", "menu", "dir")), foreign)
+            yield _lay(x, out, shown, pre, depth + (tag in ("ul", "ol", "menu", "dir")), foreign)
     if is_block:
         out.block(spaced)
     out.indent = indent
@@ -292,10 +312,10 @@ def _rows(node: Node):
             yield x
 
 
-def table(node: Node, out: Layout, shown: bool, depth: int) -> None:
+def table(node: Node, out: Layout, shown: bool, depth: int) -> Iterator:
     for x in node.inside:
         if isinstance(x, Node) and x.tag == "caption":
-            lay(x, out, shown, False, depth)
+            yield _lay(x, out, shown, False, depth)
     grid, held, loose, spanning = [], {}, [], set()
     for row in _rows(node):
         if isinstance(row, str) or row.tag != "tr":  # text or elements that stand between rows come before the table
@@ -313,7 +333,7 @@ def table(node: Node, out: Layout, shown: bool, depth: int) -> None:
                 if visible:
                     inner.inline(c)
             else:
-                lay(c, inner, visible, False, 0)
+                yield _lay(c, inner, visible, False, 0)
                 if c.tag in ("td", "th") and ("hidden" in c.attrs or style_of(c).get("display") == "none"):
                     continue
             cells[col] = inner.text().split("\n")
@@ -330,7 +350,7 @@ def table(node: Node, out: Layout, shown: bool, depth: int) -> None:
             if shown:
                 out.inline(x)
         else:
-            lay(x, out, shown, False, depth)
+            yield _lay(x, out, shown, False, depth)
     out.end_line()
     width: dict[int, int] = {}
     for r, cells in enumerate(grid):

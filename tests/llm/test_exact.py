@@ -341,6 +341,14 @@ def test_text_that_browsers_draw_comes_out(source, want):
     assert html_layout.render(source) == want
 
 
+@pytest.mark.parametrize("deep", [50, 130, 5000])
+def test_hidden_text_and_layout_at_any_depth(deep):
+    assert html_layout.render("<font>" * deep + "a<div style='display:none'>no</div><ul><li>b<li>c</ul>") == "a\n\n- b\n- c"
+    assert html_layout.render("<div>" * deep + "a<div hidden>no<div>no</div>no</div><b>b</b> c") == "ab c"
+    assert html_layout.render("<ul><li>" * deep + "<p>x").strip(" -") == "x"
+    assert html_layout.render("<table><tr><td>" * min(deep, 500) + "x<td>y") == "x  y"
+
+
 def test_all_visible_words_come_out(spark):
     rows = spark.read.parquet(f"{DATA}/pages.parquet").collect()
     for r in rows:
