@@ -2,15 +2,110 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import base
+from .textops import U64
 
 #: Lists before this one, in a member's order, that are looked at to see whether a pair met there already.
 LOOK_BACK = 12
+#: Counters of the frequency sketch, and the blocks in which they are summed.
+WIDTH, BLOCKS = 1 << 22, 64
+#: Hash classes of lists that are looked at in turn, which bounds the shuffle files on disk.
+PASSES = 4
+
+
+class Sketch:
+    """One task's counts of hashes by slot, sent as compressed blocks of (kind, block, salt, blob)."""
+
+    def __init__(self):
+        self.counts = np.zeros(WIDTH, np.uint32)
+
+    def add(self, s: np.ndarray) -> None:
+        self.counts[(s & U64(WIDTH - 1)).astype(np.int64)] += 1  # a set has few equal slots; those count once
+
+    def blocks(self) -> tuple[list[int], int, list[bytes]]:
+        step = WIDTH // BLOCKS
+        some = [i for i in range(BLOCKS) if self.counts[i * step : (i + 1) * step].any()]
+        return some, int(self.counts.sum()) % 64, [zlib.compress(self.counts[i * step : (i + 1) * step].tobytes(), 1) for i in some]
+
+
+def _merge(pdf):
+    total = sum(np.frombuffer(zlib.decompress(x), np.uint32).astype(np.int64) for x in pdf["blob"])
+    return pdf.iloc[:1].assign(blob=[zlib.compress(np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes(), 1)])[["block", "salt", "blob"]]
+
+
+def levels(part: DataFrame) -> tuple[bytes, float]:
+    """Of blocks (block, salt, blob): the frequency level of each slot, compressed, 0 for the usual load, and the mean length of a level-0 list."""
+    part = part.groupBy("block", "salt").applyInPandas(_merge, "block long, salt long, blob binary")
+    part = part.withColumn("salt", F.lit(0).cast("long")).groupBy("block", "salt").applyInPandas(_merge, "block long, salt long, blob binary")
+    counts = np.zeros(WIDTH, np.uint32)
+    step = WIDTH // BLOCKS
+    for r in part.select("block", "blob").collect():  # at most BLOCKS rows, WIDTH counters in all
+        counts[r["block"] * step : (r["block"] + 1) * step] = np.frombuffer(zlib.decompress(r["blob"]), np.uint32)
+    usual = 4 * counts.mean() + 16
+    level = np.clip(np.floor(np.log2(np.maximum(counts, 1) / usual)) + 1, 0, 15).astype(np.uint8)
+    low = counts[level == 0].astype(np.float64)
+    return zlib.compress(level.tobytes(), 1), float(low.sum() / max(1, np.count_nonzero(low)))
+
+
+def prefix(s: np.ndarray, level: np.ndarray, percent: int) -> np.ndarray:
+    """The rarest members of a set, by level, then hash: two sets that link share one of these."""
+    n = len(s)
+    return s[np.argsort(level[(s & U64(WIDTH - 1)).astype(np.int64)], kind="stable")[: n - -(-percent * n // 100) + 1]]
+
+
+def _sketch_sets(batches):
+    sketch = Sketch()
+    for b in batches:
+        for x in b.column(0):
+            sketch.add(np.frombuffer(x.as_buffer(), U64))
+    some, salt, blobs = sketch.blocks()
+    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([salt] * len(some), pa.int64()), pa.array(blobs, pa.binary())], names=["block", "salt", "blob"])
+
+
+def prefix_lists(sets: DataFrame, percent: int) -> DataFrame:
+    """(token, fp, n, pos) of the prefixes of sets (fp, n, shingles), in the order of frequencies among these sets."""
+    packed, _ = levels(sets.select("shingles").mapInArrow(_sketch_sets, "block long, salt long, blob binary"))
+    level = sets.sparkSession.sparkContext.broadcast(packed)
+
+    def run(batches):
+        lv = np.frombuffer(zlib.decompress(level.value), np.uint8)
+        for b in batches:
+            keys = [prefix(np.frombuffer(x.as_buffer(), U64), lv, percent) for x in b.column(2)]
+            many = [len(k) for k in keys]
+            token = np.concatenate([*keys, np.empty(0, U64)]).view(np.int64)
+            pos = np.concatenate([*(np.arange(m, dtype=np.int32) for m in many), np.empty(0, np.int32)])
+            yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.repeat(b.column(0).to_numpy(), many)), pa.array(np.repeat(b.column(1).to_numpy(), many).astype(np.int32)), pa.array(pos)], names=["token", "fp", "n", "pos"])
+
+    return sets.select("fp", "n", "shingles").mapInArrow(run, "token long, fp long, n int, pos int")
+
+
+def shared_lists(rows: DataFrame, member: str = "fp") -> list[DataFrame]:
+    """The rows whose token more than one member has, by hash class of the token, each stored; rows must be a stored table."""
+    found = []
+    for p in range(PASSES):
+        part = rows.where(F.pmod("token", F.lit(PASSES)) == p)
+        # stored before the join, so that a long list is counted by parts and its join can be split
+        shared, path = base.stored(part.groupBy("token").agg(F.min(member).alias("lo"), F.max(member).alias("hi")).where("lo <> hi").select("token"), "tokens")
+        base.sweep(rows.sparkSession)
+        found.append(base.stored(part.join(shared, "token"), "shared"))
+        base.drop_path(rows.sparkSession, path)
+        base.sweep(rows.sparkSession)
+    return found
+
+
+def union(parts: list[tuple[DataFrame, str]]) -> DataFrame:
+    out = parts[0][0]
+    for df, _ in parts[1:]:
+        out = out.unionByName(df)
+    return out
 
 
 def _room(percent: int, one: str, two: str) -> Column:
@@ -21,36 +116,66 @@ def _room(percent: int, one: str, two: str) -> Column:
     return (left >= least) & (F.least(F.col(f"{one}.n"), F.col(f"{two}.n")) * 100 >= F.greatest(F.col(f"{one}.n"), F.col(f"{two}.n")) * percent)
 
 
-def resolve(members: DataFrame, percent: int, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _placed(members: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """members with c, the component of each, itself where it has no link yet."""
+    if comp is None:
+        return members.withColumn("c", F.col("fp"))
+    return members.join(comp.withColumnRenamed("node", "x"), F.col("fp") == F.col("x"), "left").select(*members.columns, F.coalesce("component", "fp").alias("c"))
+
+
+def hub_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of each member of (token, fp, n, pos, c) with its list's hub, the one of least pos, where components differ."""
+    hubs, _ = base.stored(members.groupBy("token").agg(F.min(F.struct("pos", "n", "fp", "c")).alias("hub")), "hubs")
+    star = members.select("token", F.struct("pos", "n", "fp", "c").alias("me")).join(hubs, "token").where(_room(percent, "me", "hub") & (F.col("me.c") != F.col("hub.c")))
+    return star.select(F.least("me.fp", "hub.fp").alias("a"), F.greatest("me.fp", "hub.fp").alias("b")).distinct()
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """Members but the hubs, of lists in which those lie in several components: (token, me, ch), ch the hub's component."""
+    hubs = members.groupBy("token").agg(F.min(F.struct("pos", "n", "fp", "c")).alias("hub"), F.count(F.lit(1)).alias("many"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    hubs, hubs_path = base.stored(hubs.where("many > 2 and lo <> hi").select("token", "hub"), "hubs")
+    rest = members.select("token", F.struct("pos", "n", "fp", "c").alias("me")).join(hubs, "token").where(F.col("me.fp") != F.col("hub.fp"))
+    rest, path = base.stored(rest.select("token", "me", F.col("hub.c").alias("ch")), "rest")
+    unlike, unlike_path = base.stored(rest.groupBy("token").agg(F.min("me.c").alias("lo"), F.max("me.c").alias("hi")).where("lo <> hi").select("token"), "unlike")
+    out, _ = base.stored(rest.join(unlike, "token", "left_semi"), "open")
+    for p in (path, hubs_path, unlike_path):
+        base.drop_path(members.sparkSession, p)
+    return out
+
+
+def resolve(members: DataFrame, percent: int, verify: Callable[[DataFrame], DataFrame], known: DataFrame | None = None) -> DataFrame:
     """Links (a, b) that join the same components as all links among members of the same list would.
 
     members: distinct (token, fp, n, pos): member fp of list token, its set's size, and how many of its
-    members stand before token in the order of all lists (0 where lists have no order).
+    members stand before token in the order of all lists. known: links found before.
     verify: keeps of candidate pairs (a, b) those that link; percent: their Jaccard index is at least that.
 
     In each list the member with the least pos (the hub) is held against all others. Members that are then in
-    another component than their hub are held against every member of yet another component; each
+    another component than their hub are held against the other members of yet other components; each
     such pair is made in the first list that both share, so far as LOOK_BACK reaches.
     """
     spark = members.sparkSession
-    hubs = members.groupBy("token").agg(F.min(F.struct("pos", "n", "fp")).alias("hub"))
-    lists, _ = base.stored(members.select("token", F.struct("pos", "n", "fp").alias("me")).join(hubs, "token"), "lists")
-    star = lists.where(_room(percent, "me", "hub") & (F.col("me.fp") != F.col("hub.fp")))
-    links = verify(star.select(F.least("me.fp", "hub.fp").alias("a"), F.greatest("me.fp", "hub.fp").alias("b")).distinct())
-    comp, _ = base.stored(base.components(links), "comp")
-    mine_in = lambda of: F.coalesce(F.col("component"), F.col(of))
-    placed = lists.join(comp.withColumnRenamed("node", "x"), F.col("me.fp") == F.col("x"), "left").select("token", "me", "hub", mine_in("me.fp").alias("cm"))
-    placed = placed.join(comp.withColumnRenamed("node", "x"), F.col("hub.fp") == F.col("x"), "left").select("token", "me", "cm", mine_in("hub.fp").alias("ch"))
-    placed, _ = base.stored(placed, "placed")
-    open_ = placed.join(placed.where("cm <> ch").select("token").distinct(), "token", "left_semi")
+    comp = None if known is None else base.stored(base.components(known), "comp")[0]
+    links = verify(hub_pairs(_placed(members, comp), percent))
+    links = links if known is None else base.stored(known.unionByName(links), "links")[0]
+    base.sweep(spark)
+    comp, comp_path = base.stored(base.components(links), "comp")
+    placed, placed_path = base.stored(_placed(members, comp), "placed")
+    open_ = _open(placed)
+    base.drop_path(spark, placed_path)
+    base.drop_path(spark, comp_path)
+    base.sweep(spark)
     earlier = Window.partitionBy("fp").orderBy("pos", "token").rowsBetween(-LOOK_BACK, -1)
-    open_ = open_.select("token", "me", "cm", "ch", F.col("me.fp").alias("fp"), F.col("me.pos").alias("pos"))
-    open_, _ = base.stored(open_.withColumn("earlier", F.collect_list("token").over(earlier)).drop("fp", "pos"), "open")
+    seen = open_.withColumns({"fp": F.col("me.fp"), "pos": F.col("me.pos")}).withColumn("earlier", F.collect_list("token").over(earlier)).select("token", "me", "ch", "earlier")
+    seen, path = base.stored(seen, "seen")
+    base.sweep(spark)
+    stray = seen.where(F.col("me.c") != F.col("ch")).select("token", F.col("me").alias("one"), F.col("earlier").alias("e1"))
+    rest = seen.select("token", F.col("me").alias("two"), F.col("ch").alias("c3"), F.col("earlier").alias("e2"))
+    once = (F.col("two.c") == F.col("c3")) | (F.col("one.fp") < F.col("two.fp"))
+    cross = stray.join(rest, "token").where((F.col("one.c") != F.col("two.c")) & once & _room(percent, "one", "two") & ~F.arrays_overlap("e1", "e2"))
+    pairs, pairs_path = base.stored(cross.select(F.least("one.fp", "two.fp").alias("a"), F.greatest("one.fp", "two.fp").alias("b")).distinct(), "pairs")
+    base.drop_path(spark, path)
     base.sweep(spark)
-    stray = open_.where("cm <> ch").where(F.col("me.n") - F.col("me.pos") >= F.ceil(F.col("me.n") * percent / 100 - 1e-9))
-    stray = stray.select("token", F.col("me").alias("one"), F.col("cm").alias("c1"), F.col("earlier").alias("e1"))
-    rest = open_.select("token", F.col("me").alias("two"), F.col("cm").alias("c2"), F.col("ch").alias("c3"), F.col("earlier").alias("e2"))
-    once = (F.col("c2") == F.col("c3")) | (F.col("one.fp") < F.col("two.fp"))
-    cross = stray.join(rest, "token").where((F.col("c1") != F.col("c2")) & once & _room(percent, "one", "two") & ~F.arrays_overlap("e1", "e2"))
-    more = verify(cross.select(F.least("one.fp", "two.fp").alias("a"), F.greatest("one.fp", "two.fp").alias("b")).distinct())
-    return base.stored(links.unionByName(more), "all-links")[0]
+    out, _ = base.stored(links.unionByName(verify(pairs)), "all-links")
+    base.drop_path(spark, pairs_path)
+    return out

@@ -1,7 +1,7 @@
 """N-gram Jaccard join: a size-aware heavy-light join over sets of word shingles.
 
 Two documents link when 100 * |A & B| >= percent * |A | B|. Every document gets the size of its
-set and the smallest doc_id reachable by links. The join is exact up to 64-bit hash ties.
+set and the smallest doc_id reachable by links. Sets are told apart by 128 bits, shingles by 64.
 
 * Documents with the same set are one node from the start, so copies are never paired.
 * Sets of at most `boundary` shingles are small: each lists the hashes of its subsets of the
@@ -34,18 +34,16 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import base, buckets
 from .textops import U64, mix, shingle_sets, string_buffers
 
-#: Counters of the frequency sketch, and the blocks in which they are summed.
-WIDTH, BLOCKS = 1 << 22, 64
 #: Hash ranges over which a set's members are counted, for an upper bound of overlaps.
 SIGNATURE = 256
-#: Bits of the filter that says whose sets a comparison needs.
-FILTER_BITS = 1 << 23
+#: Least and most bits of the filter that says whose sets a comparison needs, and bits for each of them.
+FILTER_BITS, MOST_BITS, BITS_EACH = 1 << 16, 1 << 27, 16
 #: Largest size for which subsets are ever listed.
 MOST_SMALL = 40
 
@@ -105,63 +103,40 @@ def _census(k: int):
     schema = "kind int, doc_id long, fp long, fp2 long, n long, blob binary"
 
     def run(batches):
-        counts = np.zeros(WIDTH, np.uint32)
+        sketch = buckets.Sketch()
         for b in batches:
             sets = shingle_sets(*string_buffers(b.column(1)), k)
             for s in sets:
-                counts[(s & U64(WIDTH - 1)).astype(np.int64)] += 1  # a set has few equal slots; those count once
+                sketch.add(s)
             fps = [_fingerprints(s) for s in sets]
             m = len(sets)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([0] * m, pa.int32()), b.column(0), pa.array([_signed(a) for a, _ in fps], pa.int64()), pa.array([_signed(a) for _, a in fps], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([_signature(s) for s in sets], pa.binary())],
                 names=["kind", "doc_id", "fp", "fp2", "n", "blob"],
             )
-        step = WIDTH // BLOCKS
-        blobs = [(i, zlib.compress(counts[i * step : (i + 1) * step].tobytes(), 1)) for i in range(BLOCKS) if counts[i * step : (i + 1) * step].any()]
-        if blobs:
+        some, salt, blobs = sketch.blocks()
+        if some:
             m = len(blobs)
-            salt = int(counts.sum()) % 64
             yield pa.RecordBatch.from_arrays(
-                [pa.array([1] * m, pa.int32()), pa.array([i for i, _ in blobs], pa.int64()), pa.array([salt] * m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.array([x for _, x in blobs], pa.binary())],
+                [pa.array([1] * m, pa.int32()), pa.array(some, pa.int64()), pa.array([salt] * m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.array(blobs, pa.binary())],
                 names=["kind", "doc_id", "fp", "fp2", "n", "blob"],
             )
 
     return run, schema
 
 
-def _merge(pdf):
-    total = sum(np.frombuffer(zlib.decompress(x), np.uint32).astype(np.int64) for x in pdf["blob"])
-    return pdf.iloc[:1].assign(blob=[zlib.compress(np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes(), 1)])[["block", "salt", "blob"]]
-
-
-def _levels(found: DataFrame) -> tuple[np.ndarray, float]:
-    """Frequency level of each slot, 0 for the usual load, and the mean length of a level-0 list."""
-    part = found.where("kind = 1").select(F.col("doc_id").alias("block"), F.col("fp").alias("salt"), "blob")
-    part = part.groupBy("block", "salt").applyInPandas(_merge, "block long, salt long, blob binary")
-    part = part.withColumn("salt", F.lit(0).cast("long")).groupBy("block", "salt").applyInPandas(_merge, "block long, salt long, blob binary")
-    counts = np.zeros(WIDTH, np.uint32)
-    step = WIDTH // BLOCKS
-    for r in part.select("block", "blob").collect():  # at most BLOCKS rows, WIDTH counters in all
-        counts[r["block"] * step : (r["block"] + 1) * step] = np.frombuffer(zlib.decompress(r["blob"]), np.uint32)
-    usual = 4 * counts.mean() + 16
-    level = np.clip(np.floor(np.log2(np.maximum(counts, 1) / usual)) + 1, 0, 15).astype(np.uint8)
-    low = counts[level == 0].astype(np.float64)
-    load = low.sum() / max(1, np.count_nonzero(low))
-    return level, float(load)
-
-
 def _postings(k: int, percent: int, boundary: int, level):
-    schema = "token long, fp long, n int, pos int"
+    schema = "token long, doc_id long, n int, pos int"
 
     def run(batches):
         lv = np.frombuffer(zlib.decompress(level.value), np.uint8)
         for b in batches:
-            token, fp, n_, pos = [], [], [], []
-            for s in shingle_sets(*string_buffers(b.column(1)), k):
+            ids = b.column(0).to_numpy()
+            token, who, n_, pos = [], [], [], []
+            for i, s in enumerate(shingle_sets(*string_buffers(b.column(1)), k)):
                 n = len(s)
                 if not n:
                     continue
-                me = _signed(_fingerprints(s)[0])
                 if n <= boundary:
                     keys = []
                     with np.errstate(over="ignore"):
@@ -173,23 +148,22 @@ def _postings(k: int, percent: int, boundary: int, level):
                 else:
                     keys, places = np.empty(0, U64), np.empty(0, np.int32)
                 if 100 * n // percent > boundary:
-                    p = n - -(-percent * n // 100) + 1
-                    order = np.argsort(lv[(s & U64(WIDTH - 1)).astype(np.int64)], kind="stable")[:p]
-                    keys = np.concatenate([keys, s[order]])
-                    places = np.concatenate([places, np.arange(p, dtype=np.int32)])
+                    rare = buckets.prefix(s, lv, percent)
+                    keys = np.concatenate([keys, rare])
+                    places = np.concatenate([places, np.arange(len(rare), dtype=np.int32)])
                 token.append(keys)
                 pos.append(places)
-                fp.append(np.full(len(keys), me, np.int64))
+                who.append(np.full(len(keys), ids[i], np.int64))
                 n_.append(np.full(len(keys), n, np.int32))
             if token:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in ([t.view(np.int64) for t in token], fp, n_, pos)], names=["token", "fp", "n", "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in ([t.view(np.int64) for t in token], who, n_, pos)], names=["token", "doc_id", "n", "pos"])
 
     return run, schema
 
 
 def _chosen(k: int, bits):
     """The sets of the documents whose doc_id the filter may hold."""
-    schema = "doc_id long, own long, shingles binary"
+    schema = "doc_id long, own long, own2 long, shingles binary"
 
     def run(batches):
         flags = np.frombuffer(zlib.decompress(bits.value), np.uint64)
@@ -199,7 +173,8 @@ def _chosen(k: int, bits):
             b = b.filter(pa.array(keep))
             if b.num_rows:
                 sets = shingle_sets(*string_buffers(b.column(1)), k)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([_signed(_fingerprints(s)[0]) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "own", "shingles"])
+                fps = [_fingerprints(s) for s in sets]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([_signed(x) for x, _ in fps], pa.int64()), pa.array([_signed(y) for _, y in fps], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "own", "own2", "shingles"])
 
     return run, schema
 
@@ -226,26 +201,35 @@ def _enough(pairs: DataFrame, sets: DataFrame, what: str, measure, percent: int)
     return found.where(F.col("inter") * (100 + percent) >= F.col("total") * percent).select("a", "b")
 
 
+def flags_of(wanted: DataFrame, name: str):
+    """(bits, broadcast): a bit map of the hashes of the ids in wanted, sized by their number up to MOST_BITS."""
+    bits = FILTER_BITS
+    n = wanted.count()
+    while bits < min(MOST_BITS, BITS_EACH * n):
+        bits *= 2
+    words = wanted.select(F.pmod(F.xxhash64(name), F.lit(bits)).alias("h")).groupBy(F.shiftright("h", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(h & 63 as int)))").alias("v"))
+    flags = np.zeros(bits // 64, np.int64)
+    got = words.toArrow()  # at most MOST_BITS / 64 rows, whatever the input
+    flags[got["w"].to_numpy()] = got["v"].to_numpy()
+    return bits, wanted.sparkSession.sparkContext.broadcast(zlib.compress(flags.tobytes(), 1))
+
+
 def _verify(docs: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of pairs (a, b) of fingerprints, those that link."""
+    """Of pairs (a, b) of representatives' ids, those that link."""
     spark = docs.sparkSession
-    pairs, _ = base.stored(_enough(pairs, reps, "signature", _bound, percent), "pairs")
-    wanted = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
-    wanted, _ = base.stored(wanted.join(reps, "fp").select("fp", "rep", "n"), "wanted")
+    pairs, pairs_path = base.stored(_enough(pairs, reps, "signature", _bound, percent), "likely")
     base.sweep(spark)
-    slot = F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS))
-    words = wanted.select(slot.alias("h")).groupBy(F.shiftright("h", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(h & 63 as int)))").alias("v"))
-    flags = np.zeros(FILTER_BITS // 64, np.int64)
-    got = words.toArrow()  # at most FILTER_BITS / 64 rows, whatever the input
-    flags[got["w"].to_numpy()] = got["v"].to_numpy()
-    bits = spark.sparkContext.broadcast(zlib.compress(flags.tobytes(), 1))
-    run, schema = _chosen(k, bits)
-    sets = docs.where("doc_id is not null").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("slot")).mapInArrow(run, schema)
-    # a doc_id that is not unique may bring other texts: each set must have the fingerprint it is to stand for
-    sets = wanted.join(sets, (wanted["rep"] == sets["doc_id"]) & (wanted["fp"] == sets["own"])).select("fp", "n", "shingles").dropDuplicates(["fp"])
+    wanted = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
+    wanted, wanted_path = base.stored(wanted.join(reps, wanted["rep"] == reps["fp"]).select("fp", "doc", "one", "two", "n"), "wanted")
+    bits, flags = flags_of(wanted, "doc")
+    run, schema = _chosen(k, flags)
+    sets = docs.where("doc_id is not null").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("slot")).mapInArrow(run, schema)
+    # a doc_id that is not unique may bring other texts: each set must have the fingerprints it is to stand for
+    sets = wanted.join(sets, (wanted["doc"] == sets["doc_id"]) & (wanted["one"] == sets["own"]) & (wanted["two"] == sets["own2"])).select("fp", "n", "shingles").dropDuplicates(["fp"])
     sets, sets_path = base.stored(sets, "sets")
     links, _ = base.stored(_enough(pairs, sets, "shingles", _overlap, percent), "links")
-    base.drop_path(spark, sets_path)
+    for path in (pairs_path, wanted_path, sets_path):
+        base.drop_path(spark, path)
     base.sweep(spark)
     return links
 
@@ -256,25 +240,34 @@ def jaccard_groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     base.tune(spark)
     docs = _text_and_id(docs)
     run, schema = _census(k)
-    found, _ = base.stored(docs.mapInArrow(run, schema), "census")
-    level, load = _levels(found)
+    found, found_path = base.stored(docs.mapInArrow(run, schema), "census")
+    level, load = buckets.levels(found.where("kind = 1").select(F.col("doc_id").alias("block"), F.col("fp").alias("salt"), "blob"))
     boundary = pick_boundary(load, percent)
-    mine = found.where("kind = 0").select("doc_id", "fp", "n")
-    named = found.where("kind = 0 and n > 0 and doc_id is not null")
-    reps = named.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.min("fp2").alias("x"), F.max("fp2").alias("y"), F.first("blob").alias("signature"))
-    reps, _ = base.stored(reps, "reps")
-    if reps.where("x <> y").limit(1).count():
-        raise RuntimeError("two different sets share a 64-bit fingerprint")
-    run, schema = _postings(k, percent, boundary, spark.sparkContext.broadcast(zlib.compress(level.tobytes(), 1)))
+    mine, mine_path = base.stored(found.where("kind = 0").select("doc_id", "fp", "fp2", "n"), "own")
+    # a set is named by its smallest doc_id; sets that share it, as doc_ids may repeat, get a hash beside it
+    unique = found.where("kind = 0 and n > 0 and doc_id is not null")
+    each = unique.groupBy("fp", "fp2").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("blob").alias("signature"))
+    first = F.row_number().over(Window.partitionBy("doc").orderBy("fp", "fp2")) == 1
+    each = each.withColumn("node", F.when(first, F.col("doc")).otherwise(F.xxhash64("doc", "fp", "fp2")))
+    reps, reps_path = base.stored(each.select(F.col("node").alias("fp"), "doc", F.col("fp").alias("one"), F.col("fp2").alias("two"), "n", "signature"), "reps")
+    base.drop_path(spark, found_path)
+    base.sweep(spark)
+    run, schema = _postings(k, percent, boundary, spark.sparkContext.broadcast(level))
     rows, rows_path = base.stored(docs.where("doc_id is not null").mapInArrow(run, schema), "postings")
-    shared = rows.groupBy("token").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("token")
-    lists, lists_path = base.stored(rows.join(shared, "token").distinct(), "shared")
+    parts = buckets.shared_lists(rows, "doc_id")
     base.drop_path(spark, rows_path)
+    named, named_path = base.stored(mine.where("n > 0 and doc_id is not null").join(reps.select(F.col("fp").alias("node"), "one", "two"), (F.col("fp") == F.col("one")) & (F.col("fp2") == F.col("two"))).select(F.col("doc_id").alias("d"), "node", F.col("n").alias("size")).distinct(), "named")
+    lists, lists_path = base.stored(buckets.union(parts).join(named, (F.col("doc_id") == F.col("d")) & (F.col("n") == F.col("size"))).select("token", F.col("node").alias("fp"), "n", "pos").distinct(), "lists")
+    for _, path in parts:
+        base.drop_path(spark, path)
     base.sweep(spark)
     comp = base.components(buckets.resolve(lists, percent, lambda pairs: _verify(docs, reps, pairs, k, percent)))
     base.drop_path(spark, lists_path)
-    whole = mine.join(comp.withColumnRenamed("node", "x"), F.col("fp") == F.col("x"), "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "fp")).alias("c"))
+    whole = mine.join(reps.select(F.col("fp").alias("node"), "one", "two"), (F.col("fp") == F.col("one")) & (F.col("fp2") == F.col("two")), "left")
+    whole = whole.join(comp.withColumnRenamed("node", "x"), F.col("node") == F.col("x"), "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("c"))
     whole, _ = base.stored(whole, "classes")
+    for path in (mine_path, reps_path, named_path):
+        base.drop_path(spark, path)
     first = whole.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("first")).withColumnRenamed("c", "g")
     return whole.join(first, F.col("c") == F.col("g"), "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("component_id"))
 

@@ -1,9 +1,11 @@
 """Substring dedup: passages that repeat across documents go from all but the first document that has them.
 
-Two kinds of units are compared across documents, both on words as in the shingle joins.
+A passage is a run of words, or a paragraph, of at least `least_words` words, as in the shingle joins. Two kinds are compared.
 
-* Paragraphs (lines) of at least `least_words` words: MinHash signatures of their 5-word shingles are cut into bands, tuned for
-  a recall of RECALL at the threshold at least cost; colliding paragraphs are verified by their exact
+* Paragraphs (lines): MinHash signatures of their 5-word shingles are cut into bands, tuned for
+  a recall of RECALL at the threshold at least cost. The paragraphs of a band are held against one of them, the one that meets most others;
+  paragraphs that then lie in other clusters than the rest of their band are held against each other by the
+  rarest shingles of their sets, without loss. Every pair is verified by its exact
   Jaccard index (at least `percent`), and links are clustered into components.
 * Runs of `least_words` words: every such run of a document that one earlier document also has, word for word, wherever
   either stands. A run's seed is the least hash of its shorter shingles, so equal runs have equal seeds and
@@ -13,6 +15,8 @@ The occurrences in the first document (smallest doc_id) of a component, or of a
 repeated runs and repeated paragraphs are removed, the rest of
 the text stays as it is byte for byte, but for line ends next to lines that go whole.
 
+`least_words` says what a passage is, at any size of the corpus: shorter lines, such as headings, are common to documents of every kind and stay.
+
 Nulls and edges: a null text stays null and an empty text stays empty, with nothing removed; rows with a null doc_id keep their text;
 a passage that repeats only within one document stays; rows of one doc_id are one document to
 the choice of the first and each is cut by its own text. Ties cannot occur, as doc_id orders documents. Columns of other names are ignored, or kept by `dedup_table`.
@@ -20,31 +24,35 @@ the choice of the first and each is cut by its own text. Ties cannot occur, as d
 
 from __future__ import annotations
 
+import math
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import base, buckets
+from .jaccard_join import flags_of
 from .textops import U64, hash_words, mix, shingle_hashes, string_buffers
 
 LEAST_WORDS, PERCENT, RECALL = 24, 80, 0.995
-FILTER_BITS = 1 << 23
 
 
 @lru_cache
 def tune_bands(threshold: float, recall: float, most: int = 64) -> tuple[int, int]:
-    """(bands, rows) of least cost in band keys, then of most rows, whose recall at the threshold suffices."""
+    """(bands, rows) of least cost whose recall at the threshold suffices; one row in as many bands as it takes, where `most` hashes do not do.
+
+    The cost counts band keys, and 30 for each band in which a paragraph meets one that is half as like as the threshold.
+    """
     found = []
     for rows in range(1, 9):
-        bands = next((b for b in range(1, most // rows + 1) if 1 - (1 - threshold**rows) ** b >= recall), None)
-        if bands:
-            found.append((bands + 4 * (0.3**rows) * bands, -rows, bands))  # keys, and the cost of unlike pairs that collide
+        bands = max(1, math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows))) if threshold < 1 else 1
+        if rows == 1 or bands * rows <= most:
+            found.append((bands * (1 + 30 * (threshold / 2) ** rows), rows, bands))
     _, rows, bands = min(found)
-    return bands, -rows
+    return bands, rows
 
 
 def units_of(data: np.ndarray, offs: np.ndarray):
@@ -190,28 +198,68 @@ def _jaccard(batches):
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(both, pa.int64()), pa.array(either, pa.int64())], names=["a", "b", "both", "either"])
 
 
-def _verify(docs: DataFrame, where: DataFrame, pairs: DataFrame, least: int, percent: int, k: int) -> DataFrame:
-    """Of pairs (a, b) of paragraphs, those whose exact Jaccard index reaches percent; where: (fp, doc_id) of each paragraph."""
-    spark = docs.sparkSession
-    pairs, _ = base.stored(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
-    wanted, _ = base.stored(wanted.join(where, "fp").select("fp", "doc_id"), "wanted")
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    words = wanted.select(slot.alias("h")).groupBy(F.shiftright("h", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(h & 63 as int)))").alias("v"))
-    flags = np.zeros(FILTER_BITS // 64, np.int64)
-    got = words.toArrow()  # at most FILTER_BITS / 64 rows, whatever the input
-    flags[got["w"].to_numpy()] = got["v"].to_numpy()
-    run, schema = _sets(least, k, spark.sparkContext.broadcast(zlib.compress(flags.tobytes(), 1)))
-    sets = docs.where("doc_id is not null").select("text", slot.alias("slot")).mapInArrow(run, schema)
-    sets, path = base.stored(sets.join(wanted.select("fp"), "fp", "left_semi").dropDuplicates(["fp"]), "sets")
+def _sets_of(docs: DataFrame, wanted: DataFrame, least: int, k: int) -> tuple[DataFrame, str]:
+    """(fp, n, shingles) of the paragraphs (fp, doc_id) of wanted, stored."""
+    bits, flags = flags_of(wanted, "doc_id")
+    run, schema = _sets(least, k, flags)
+    sets = docs.where("doc_id is not null").select("text", F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("slot")).mapInArrow(run, schema)
+    one_each = sets.join(wanted.select("fp"), "fp", "left_semi").dropDuplicates(["fp"])
+    return base.stored(one_each.select("fp", (F.octet_length("shingles") / 8).cast("int").alias("n"), "shingles"), "sets")
+
+
+def _verify(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b) of paragraphs, those whose exact Jaccard index reaches percent."""
     two = pairs.join(sets.select(F.col("fp").alias("a"), F.col("shingles").alias("left")), "a").join(sets.select(F.col("fp").alias("b"), F.col("shingles").alias("right")), "b")
     found = two.select("a", "b", "left", "right").mapInArrow(_jaccard, "a long, b long, both long, either long")
     links, _ = base.stored(found.where(F.col("both") * 100 >= F.col("either") * percent).select("a", "b"), "links")
-    base.drop_path(spark, path)
-    base.sweep(spark)
+    base.sweep(sets.sparkSession)
     return links
 
 
+def _size_ratio(percent: int, one: Column, two: Column) -> Column:
+    return F.least(one, two) * 100 >= F.greatest(one, two) * percent
+
+
+def paragraph_links(docs: DataFrame, bands: DataFrame, where: DataFrame, least: int, percent: int, k: int) -> DataFrame:
+    """Links (a, b) of paragraphs that share a band; bands: (token, fp, n), where: (fp, doc_id) of each paragraph."""
+    spark = docs.sparkSession
+    parts = buckets.shared_lists(bands)
+    members, members_path = base.stored(buckets.union(parts).distinct(), "members")
+    for _, path in parts:
+        base.drop_path(spark, path)
+    wanted, wanted_path = base.stored(members.select("fp").distinct().join(where.select("fp", "doc_id"), "fp"), "wanted")
+    sets, sets_path = _sets_of(docs, wanted, least, k)
+    base.drop_path(spark, wanted_path)
+    base.sweep(spark)
+    # the hub of a band is the paragraph that meets most others in all of its bands
+    size, _ = base.stored(members.groupBy("token").agg(F.count(F.lit(1)).alias("many")), "sizes")
+    met = members.join(size, "token").groupBy("fp").agg(F.sum("many").alias("met"))
+    ranked, ranked_path = base.stored(members.join(met, "fp").select("token", "n", F.struct((-F.col("met")).alias("least"), "fp", "n").alias("me")), "ranked")
+    hubs, _ = base.stored(ranked.groupBy("token").agg(F.min("me").alias("hub")), "hubs")
+    star = ranked.join(hubs, "token").where((F.col("me.fp") != F.col("hub.fp")) & _size_ratio(percent, F.col("me.n"), F.col("hub.n")))
+    pairs, pairs_path = base.stored(star.select(F.least("me.fp", "hub.fp").alias("a"), F.greatest("me.fp", "hub.fp").alias("b")).distinct(), "pairs")
+    base.drop_path(spark, ranked_path)
+    base.sweep(spark)
+    links = _verify(sets, pairs, percent)
+    base.drop_path(spark, pairs_path)
+    comp, _ = base.stored(base.components(links), "comp")
+    placed = members.join(comp, members["fp"] == comp["node"], "left").select("token", "fp", F.coalesce("component", "fp").alias("c"))
+    placed, placed_path = base.stored(placed, "placed")
+    unlike, _ = base.stored(placed.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("many")).where("lo <> hi and many > 2").select("token"), "unlike")
+    open_ = placed.join(unlike, "token", "left_semi").select("fp").distinct()
+    open_sets, open_path = base.stored(sets.join(open_, "fp", "left_semi"), "open-sets")
+    base.drop_path(spark, placed_path)
+    base.drop_path(spark, members_path)
+    base.sweep(spark)
+    rows, rows_path = base.stored(buckets.prefix_lists(open_sets, percent), "prefixes")
+    parts = buckets.shared_lists(rows)
+    base.drop_path(spark, rows_path)
+    out = buckets.resolve(buckets.union(parts), percent, lambda p: _verify(open_sets, p, percent), known=links)
+    for path in (sets_path, open_path, *(p for _, p in parts)):
+        base.drop_path(spark, path)
+    return out
+
+
 def _runs(least: int):
     """The hashes of the runs of each document whose seed another document has too."""
     schema = "key long, doc_id long"
@@ -280,38 +328,63 @@ def _cutter(least: int):
     return measure, "new_text string, n_removed int, removed_bytes long, spans array<struct<start:long,length:long>>"
 
 
+def _repeated_runs(docs: DataFrame, seeds: DataFrame, least: int) -> DataFrame:
+    """(doc_id, runs): the runs of each document that an earlier one has too; seeds: (key, doc_id), stored."""
+    spark = docs.sparkSession
+    parts = buckets.shared_lists(seeds.select(F.col("key").alias("token"), "doc_id"), "doc_id")
+    run, schema = _runs(least)
+    every = []
+    for p in range(buckets.PASSES):  # documents by hash class, which bounds the shuffled texts on disk
+        mine = F.pmod(F.xxhash64("doc_id"), F.lit(buckets.PASSES)) == p
+        own = buckets.union(parts).where(mine).groupBy(F.col("doc_id").alias("d")).agg(F.collect_set("token").alias("seeds"))
+        some = docs.where("text is not null").where(mine).join(own, F.col("doc_id") == F.col("d")).select("doc_id", "text", "seeds")
+        every.append(base.stored(some.mapInArrow(run, schema), "runs"))
+        base.sweep(spark)
+    for _, path in parts:
+        base.drop_path(spark, path)
+    runs, found = buckets.union(every), []
+    for p in range(buckets.PASSES):
+        part = runs.where(F.pmod("key", F.lit(buckets.PASSES)) == p)
+        first, first_path = base.stored(part.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("key", "first"), "first")
+        base.sweep(spark)
+        later = part.join(first, "key").where("doc_id > first").groupBy("doc_id").agg(F.collect_set("key").alias("some"))
+        found.append(base.stored(later, "later"))
+        base.drop_path(spark, first_path)
+        base.sweep(spark)
+    for _, path in every:
+        base.drop_path(spark, path)
+    out, _ = base.stored(buckets.union(found).groupBy("doc_id").agg(F.flatten(F.collect_list("some")).alias("runs")), "repeated")
+    for _, path in found:
+        base.drop_path(spark, path)
+    base.sweep(spark)
+    return out
+
+
 def repeated_units(docs: DataFrame, least: int = LEAST_WORDS, percent: int = PERCENT, k: int = 5) -> DataFrame:
-    """(doc_id, runs, paragraphs): what each document repeats of an earlier one."""
+    """(repeats_of, runs, paragraphs): what each document repeats of an earlier one."""
+    spark = docs.sparkSession
     run, schema = _census(least, percent, k)
     found, found_path = base.stored(docs.where("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, schema), "units")
-    seeds = found.where("kind = 0").select("key", "doc_id")
-    shared = seeds.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("key")
-    seeds = seeds.join(shared, "key").groupBy(F.col("doc_id").alias("d")).agg(F.collect_set("key").alias("seeds"))
-    run, schema = _runs(least)
-    runs = docs.where("text is not null").join(seeds, F.col("doc_id") == F.col("d")).select("doc_id", "text", "seeds").mapInArrow(run, schema)
-    runs, runs_path = base.stored(runs, "runs")
-    first = runs.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("key", "first")
-    repeated, _ = base.stored(runs.join(first, "key").where("doc_id > first").select("doc_id", "key").distinct(), "repeated-runs")
-    base.drop_path(docs.sparkSession, runs_path)
-    base.sweep(docs.sparkSession)
-    paras = found.where("kind = 2").select("fp", "doc_id", "n", "place")
-    where = paras.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"))
-    bands = found.where("kind = 1").select(F.col("key").alias("token"), "fp", "n")
-    shared = bands.groupBy("token").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("token")
-    members, _ = base.stored(bands.join(shared, "token").distinct().withColumn("pos", F.lit(0)), "members")
-    links = buckets.resolve(members, percent, lambda pairs: _verify(docs, where, pairs, least, percent, k))
+    again = _repeated_runs(docs, found.where("kind = 0").select("key", "doc_id"), least)
+    paras, paras_path = base.stored(found.where("kind = 2").select("fp", "doc_id", "n", "place"), "paragraphs")
+    bands, bands_path = base.stored(found.where("kind = 1").select(F.col("key").alias("token"), "fp", "n"), "bands")
+    base.drop_path(spark, found_path)
+    where, where_path = base.stored(paras.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")), "first")
+    base.sweep(spark)
+    links = paragraph_links(docs, bands, where, least, percent, k)
+    base.drop_path(spark, bands_path)
     comp = base.components(links)
     placed = where.join(comp, where["fp"] == comp["node"], "left").select("fp", "doc_id", "last", F.coalesce("component", "fp").alias("c"))
-    placed, _ = base.stored(placed, "paragraphs")
-    start = placed.groupBy("c").agg(F.min("doc_id").alias("first"), F.max("last").alias("last")).where("first < last").select("c", "first")
-    copies = placed.join(start, "c").select(F.col("fp").alias("f"), "first")
-    lines = paras.join(copies, F.col("fp") == F.col("f")).where("doc_id > first").select("doc_id", "place").distinct()
-    again = repeated.groupBy("doc_id").agg(F.collect_list("key").alias("runs"))
-    lines = lines.groupBy(F.col("doc_id").alias("d")).agg(F.collect_list("place").alias("paragraphs"))
+    placed, _ = base.stored(placed, "placed")
+    start, _ = base.stored(placed.groupBy("c").agg(F.min("doc_id").alias("first"), F.max("last").alias("last")).where("first < last").select("c", "first"), "start")
+    copies, _ = base.stored(placed.join(start, "c").select(F.col("fp").alias("f"), "first"), "copies")
+    base.sweep(spark)
+    lines = paras.join(copies, F.col("fp") == F.col("f")).where("doc_id > first").groupBy(F.col("doc_id").alias("d")).agg(F.collect_set("place").alias("paragraphs"))
     out = again.join(lines, F.col("doc_id") == F.col("d"), "full").select(F.coalesce("doc_id", "d").alias("repeats_of"), "runs", "paragraphs")
     out, _ = base.stored(out, "repeats")
-    base.drop_path(docs.sparkSession, found_path)
-    base.sweep(docs.sparkSession)
+    for path in (paras_path, where_path):
+        base.drop_path(spark, path)
+    base.sweep(spark)
     return out
 
 
