@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import gc
 import re
+import time
 import uuid
 from collections.abc import Callable, Iterable
 
@@ -24,8 +25,10 @@ def tune(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that all executors share: spark.checkpoint.dir; one of our own where it is unset and everything runs on this machine."""
     top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return top or "/tmp/checkpoints/evigrain"
 
 
@@ -44,8 +47,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def sweep(spark: SparkSession) -> None:
-    """Let the driver collect plans that are done, so that their shuffle files go before more are written."""
+_swept = [0.0]
+
+
+def sweep(spark: SparkSession, every: float = 2.0) -> None:
+    """Let the driver collect plans that are done, so that their shuffle files go before more are written; not again within `every` seconds."""
+    if time.monotonic() - _swept[0] < every:
+        return
+    _swept[0] = time.monotonic()
     gc.collect()
     spark.sparkContext._jvm.System.gc()
     with contextlib.suppress(OSError, AttributeError):  # where the C library has it, give freed memory back

@@ -17,8 +17,8 @@ from .textops import U64
 LOOK_BACK = 12
 #: Counters of the frequency sketch, and the blocks in which they are summed.
 WIDTH, BLOCKS = 1 << 22, 64
-#: Hash classes of lists that are looked at in turn, which bounds the shuffle files on disk.
-PASSES = 4
+#: Hash classes that are looked at in turn, at most, and rows of one: this bounds the shuffle files on disk.
+PASSES, PASS_ROWS = 4, 2_000_000
 
 
 class Sketch:
@@ -87,11 +87,16 @@ def prefix_lists(sets: DataFrame, percent: int) -> DataFrame:
     return sets.select("fp", "n", "shingles").mapInArrow(run, "token long, fp long, n int, pos int")
 
 
+def passes(rows: int) -> int:
+    """Hash classes in which to look at so many rows."""
+    return max(1, min(PASSES, -(-rows // PASS_ROWS)))
+
+
 def shared_lists(rows: DataFrame, member: str = "fp") -> list[DataFrame]:
     """The rows whose token more than one member has, by hash class of the token, each stored; rows must be a stored table."""
-    found = []
-    for p in range(PASSES):
-        part = rows.where(F.pmod("token", F.lit(PASSES)) == p)
+    found, many = [], passes(rows.count())
+    for p in range(many):
+        part = rows.where(F.pmod("token", F.lit(many)) == p)
         # stored before the join, so that a long list is counted by parts and its join can be split
         shared, path = base.stored(part.groupBy("token").agg(F.min(member).alias("lo"), F.max(member).alias("hi")).where("lo <> hi").select("token"), "tokens")
         base.sweep(rows.sparkSession)
@@ -143,11 +148,11 @@ def _open(members: DataFrame) -> DataFrame:
     return out
 
 
-def resolve(members: DataFrame, percent: int, verify: Callable[[DataFrame], DataFrame], known: DataFrame | None = None) -> DataFrame:
+def resolve(members: DataFrame, percent: int, verify: Callable[[DataFrame], DataFrame], known: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Links (a, b) that join the same components as all links among members of the same list would.
 
     members: distinct (token, fp, n, pos): member fp of list token, its set's size, and how many of its
-    members stand before token in the order of all lists. known: links found before.
+    members stand before token in the order of all lists. known: links found before, and their components.
     verify: keeps of candidate pairs (a, b) those that link; percent: their Jaccard index is at least that.
 
     In each list the member with the least pos (the hub) is held against all others. Members that are then in
@@ -155,9 +160,8 @@ def resolve(members: DataFrame, percent: int, verify: Callable[[DataFrame], Data
     such pair is made in the first list that both share, so far as LOOK_BACK reaches.
     """
     spark = members.sparkSession
-    comp = None if known is None else base.stored(base.components(known), "comp")[0]
-    links = verify(hub_pairs(_placed(members, comp), percent))
-    links = links if known is None else base.stored(known.unionByName(links), "links")[0]
+    links = verify(hub_pairs(_placed(members, known and known[1]), percent))
+    links = known[0].unionByName(links) if known else links
     base.sweep(spark)
     comp, comp_path = base.stored(base.components(links), "comp")
     placed, placed_path = base.stored(_placed(members, comp), "placed")

@@ -1,18 +1,25 @@
 """LM scoring: stupid backoff from n-gram counts over all documents.
 
 A word's score is c(n-gram) / c(context) for the longest n-gram, of at most `order` words, that the
-corpus has `least` times or more; each order given up costs a factor of `backoff`; a single word
-scores c(word) / total. Words are runs of non-blank characters, A-Z lower-cased; contexts do not cross documents, and at a document's start the
+corpus has; each order given up costs a factor of `backoff`; a single word
+scores c(word) / total, or `backoff` ** order / total if the corpus lacks it. Words are runs of non-blank characters, A-Z lower-cased; contexts do not cross documents, and at a document's start the
 longer orders do not exist and cost nothing. A document gets the sum of the logarithms and their mean.
 
-Documents are grouped into batches by a hash. For each order a batch sends the distinct n-grams it holds, with their
-numbers, to count tables partitioned by hash; each table sums them and the counts go back by a join on
-the batch, whose positions then know their counts. An n-gram can only count `least` if both its shorter
-parts do, so longer orders send few keys. Counts are exact over all documents, up to 64-bit hash ties;
-a very common n-gram is one key of each batch.
+`backoff_scores` scores the documents that are counted. Each of their n-grams is in the tables, so no order is given up, and the
+sum of log c(n-gram) - log c(context) over a document is that of its `order`-grams' entries less that of the shorter
+n-grams between its first and its last. Hash class by hash class,
+* documents are exploded to rows (gram, count), summed within tasks, then by gram, into a count table;
+  n-grams that occur once need no row, as their logarithm is 0;
+* documents are exploded again to rows (gram, document, weight), joined to the table on gram, and weight * log(count) is summed per document.
+A bit map of a table's grams, of bounded size, spares most rows that would find nothing. Both shuffles combine before they send,
+and a common n-gram's rows are dealt to several tasks by the join.
+
+`score_against` scores documents by the counts of another corpus: n-grams by position, joined to the tables, with every order that is given up.
+
+Logarithms are summed in units of 1e-9, so sums do not depend on their order. Counts are exact 64-bit integers, up to 64-bit hash ties of n-grams and of rows.
 
 Nulls and edges: a null or empty text has 0 words, log_score 0.0 and null mean; a null doc_id is scored like others;
-repeated rows count and score each; an empty table gives no rows. Other columns are ignored.
+repeated rows count and score each; an empty table or corpus gives no rows, or words that are all unseen (total 1). Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,140 +27,212 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import base
-from .textops import U64, hash_words, shingle_hashes, string_buffers
+from .textops import U64, hash_words, mix, shingle_hashes, string_buffers
 
-ORDER, BACKOFF, LEAST = 3, 0.4, 2
-#: Bytes of text in a batch, about; least number of count tables; keys of one table, about.
-BATCH_BYTES, TABLES, TABLE_KEYS = 6_000_000, 256, 4_000_000
+ORDER, BACKOFF = 3, 0.4
+#: Bytes of text whose n-grams make a class, about, and most classes.
+CLASS_BYTES, CLASSES = 100_000_000, 8
+#: Least and most bits of the map of a table's grams, and bits for each.
+LEAST_BITS, MOST_BITS, BITS_EACH = 1 << 16, 1 << 26, 16
+#: Logarithms are whole numbers of this part.
+UNIT = 1_000_000_000
 
 
-def _keys(h: np.ndarray, ptr: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the n-gram that ends at each position, and whether there is one within its document."""
-    pos = np.arange(len(h)) - np.repeat(ptr[:-1], np.diff(ptr))
-    key = np.zeros(len(h), U64)
+def grams(h: np.ndarray, ptr: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all n-grams within texts: (hash, text, place in the text); n-grams of different lengths differ."""
     with np.errstate(over="ignore"):
-        key[n - 1 :] = shingle_hashes(h, n)
-    return key, pos >= n - 1
-
-
-def _positions(texts: pd.Series):
-    data, offs = string_buffers(pa.array(texts, pa.string()))
-    return hash_words(data, offs)
-
-
-def _eligible(h, ptr, n, shorter, least):
-    """(keys of the n-grams whose shorter parts count enough, where they end)."""
-    key, exists = _keys(h, ptr, n)
-    if n > 1:
-        exists = exists & (shorter >= least)
-        exists[1:] &= shorter[:-1] >= least
-        exists[:1] = False
-    return key[exists], np.flatnonzero(exists)
-
-
-def _known(h, ptr, order, counts: pd.DataFrame, least):
-    """For each order so far the count of the n-gram that ends at each position (0 where it was not asked for)."""
-    out: list[np.ndarray] = []
-    for n in range(1, order + 1):
-        key, at = _eligible(h, ptr, n, out[-1] if out else None, least)
-        _, where = np.unique(key, return_inverse=True)
-        own = counts[counts["level"] == n].sort_values("bucket")
-        got = np.concatenate([np.frombuffer(zlib.decompress(c), np.uint32) for c in own["counts"]]) if len(own) else np.empty(0, np.uint32)
-        c = np.zeros(len(h), np.int64)
-        c[at] = got[where]
-        out.append(c)
-    return out
-
-
-_SENT = "bucket long, level int, batch long, keys binary, many binary, total long"
-_BACK = "batch long, level int, bucket long, counts binary"
-
-
-def _send(n: int, tables: int, least: int):
-    bits = U64(64 - (tables.bit_length() - 1))
-
-    def run(docs: pd.DataFrame, counts: pd.DataFrame | None = None) -> pd.DataFrame:
-        rows = []
-        if len(docs):
-            h, ptr = _positions(docs["text"])
-            known = _known(h, ptr, n - 1, counts, least) if n > 1 else [None]
-            key, _ = _eligible(h, ptr, n, known[-1], least)
-            kinds, many = np.unique(key, return_counts=True)
-            table = kinds >> bits
-            edge = np.flatnonzero(np.diff(table, prepend=U64(tables + 1)))
-            batch = int(docs["batch"].iloc[0])
-            for a, b in zip(edge, np.append(edge[1:], len(kinds)), strict=True):
-                rows.append((int(table[a]), n, batch, kinds[a:b].tobytes(), zlib.compress(many[a:b].astype(np.uint32).tobytes(), 1), int(many[a:b].sum())))
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in _SENT.split(", ")])
-
-    if n == 1:
-        return lambda docs: run(docs)
-    return run
-
-
-def _count(sent: pd.DataFrame) -> pd.DataFrame:
-    keys = [np.frombuffer(k, U64) for k in sent["keys"]]
-    many = np.concatenate([np.frombuffer(zlib.decompress(m), np.uint32) for m in sent["many"]])
-    _, where = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.minimum(np.bincount(where, weights=many), 2**32 - 1).astype(np.uint32)[where]
-    ends = np.cumsum([len(k) for k in keys])
-    blobs = [zlib.compress(total[e - len(k) : e].tobytes(), 1) for k, e in zip(keys, ends, strict=True)]
-    return pd.DataFrame({"batch": sent["batch"], "level": sent["level"], "bucket": sent["bucket"], "counts": blobs})
-
-
-def word_scores(h, ptr, counts: list[np.ndarray], total: int, backoff: float, least: int) -> np.ndarray:
-    """Logarithm of the score of each position, from the counts of the n-grams that end there."""
-    order = len(counts)
-    pos = np.arange(len(h)) - np.repeat(ptr[:-1], np.diff(ptr))
-    out = np.log(counts[0] / max(1, total))
-    used = np.zeros(len(h), np.int64)
-    for n in range(2, order + 1):
-        hit = np.flatnonzero((counts[n - 1] >= least) & (pos >= n - 1))
-        out[hit] = np.log(counts[n - 1][hit] / counts[n - 2][hit - 1])
-        used[hit] = n - 1
-    return out + np.log(backoff) * (np.minimum(pos, order - 1) - used)
-
+        key = mix((shingle_hashes(h, n) if n > 1 else h) + U64(n) * U64(0x9E3779B97F4A7C15))
+    of = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))[: len(key)]
+    place = np.arange(len(key)) - ptr[:-1][of]
+    whole = place + n <= np.diff(ptr)[of]
+    return key[whole], of[whole], place[whole]
+
+
+def _class(key: np.ndarray, classes: int) -> np.ndarray:
+    return (key >> U64(48)) % U64(classes)
+
+
+def _spans(offs: np.ndarray, most: int = 1 << 21):
+    """Runs of texts of some `most` bytes."""
+    i, n = 0, len(offs) - 1
+    while i < n:
+        j = max(i + 1, int(np.searchsorted(offs, offs[i] + most, side="right")) - 1)
+        yield i, j
+        i = j
+
+
+def _texts(b: pa.RecordBatch, at: int):
+    """(first row, last row, word hashes, ptr) of parts of a batch."""
+    data, offs = string_buffers(b.column(at))
+    for i, j in _spans(offs):
+        yield i, j, *hash_words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+
+
+def _lengths(order: int):
+    """Of each row its words, and the gram of a text shorter than `order` words."""
+
+    def run(batches):
+        for b in batches:
+            for i, j, h, ptr in _texts(b, 2):
+                n = np.diff(ptr)
+                short = np.zeros(j - i, np.int64)
+                for k in range(1, order):
+                    key, of, _ = grams(h, ptr, k)
+                    mine = n[of] == k
+                    short[of[mine]] = key[mine].view(np.int64)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(short, mask=(n == 0) | (n >= order))], names=["key", "doc_id", "n_words", "short"])
+
+    return run, "key long, doc_id long, n_words long, short long"
+
+
+def _in_map(key: np.ndarray, flags: np.ndarray) -> np.ndarray:
+    slot = key & U64(64 * len(flags) - 1)
+    return (flags[(slot >> U64(6)).astype(np.int64)] >> (slot & U64(63))) & U64(1) > 0
+
+
+def _counted(orders: list[int], p: int, classes: int, asked):
+    """(gram, many) of a class, summed over some texts at a time. Of orders other than the two longest only those that `asked` may hold."""
+
+    def run(batches):
+        flags = np.frombuffer(zlib.decompress(asked.value), np.uint64)
+        for b in batches:
+            for _, _, h, ptr in _texts(b, 0):
+                for n in orders:
+                    key, _, _ = grams(h, ptr, n)
+                    key = key[_class(key, classes) == p]
+                    if n < orders[-1] - 1:
+                        key = key[_in_map(key, flags)]
+                    kinds, many = np.unique(key, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(many.astype(np.int64))], names=["gram", "many"])
+
+    return run, "gram long, many long"
+
+
+def _weighted(order: int, p: int, classes: int, known):
+    """(gram, key, weight) of a class: 1 for each n-gram of `order`, -1 for each shorter one inside; texts of fewer words have their whole as one."""
+
+    def run(batches):
+        flags = np.frombuffer(zlib.decompress(known.value), np.uint64)
+        for b in batches:
+            keys = b.column(0).to_numpy()
+            for i, _, h, ptr in _texts(b, 1):
+                size = np.diff(ptr)
+                for n in range(1, order + 1):
+                    gram, of, place = grams(h, ptr, n)
+                    want = _class(gram, classes) == p
+                    if n == order - 1:
+                        want &= ((place > 0) & (place + n < size[of])) | (size[of] == n)
+                    elif n < order - 1:
+                        want &= size[of] == n
+                    gram, of = gram[want], of[want]
+                    sign = np.where((n == order) | (size[of] == n), 1, -1)
+                    seen = _in_map(gram, flags)
+                    yield pa.RecordBatch.from_arrays([pa.array(gram[seen].view(np.int64)), pa.array(keys[i + of[seen]]), pa.array(sign[seen].astype(np.int32))], names=["gram", "key", "weight"])
+
+    return run, "gram long, key long, weight int"
+
+
+def _bit_map(grams_: DataFrame):
+    """A broadcast bit map over the low bits of the grams, sized by their number up to MOST_BITS."""
+    bits, n = LEAST_BITS, grams_.count()
+    while bits < min(MOST_BITS, BITS_EACH * n):
+        bits *= 2
+    slot = F.col("gram").bitwiseAND(F.lit(bits - 1))
+    words = grams_.select(slot.alias("h")).groupBy(F.shiftright("h", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(h & 63 as int)))").alias("v"))
+    flags = np.zeros(bits // 64, np.int64)
+    got = words.toArrow()  # at most MOST_BITS / 64 rows, whatever the input
+    flags[got["w"].to_numpy()] = got["v"].to_numpy()
+    return grams_.sparkSession.sparkContext.broadcast(zlib.compress(flags.tobytes(), 1))
+
+
+def units(c: Column) -> Column:
+    """A logarithm in whole units."""
+    return F.round(F.ln(c) * UNIT).cast("long")
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """(key, doc_id, text): key stands for rows of one doc_id and text."""
+    docs = base.pick(docs, ["doc_id", "text"]).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
 
-def _score(order: int, least: int, backoff: float, total: int):
-    def run(docs: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-        h, ptr = _positions(docs["text"])
-        s = np.concatenate([[0.0], np.cumsum(word_scores(h, ptr, _known(h, ptr, order, counts, least), total, backoff, least))]) if len(h) else np.zeros(1)
-        n = np.diff(ptr)
-        log = np.array([float(s[b] - s[a]) for a, b in zip(ptr[:-1], ptr[1:], strict=True)])
-        mean = pd.array(np.where(n > 0, log / np.maximum(n, 1), 0.0), dtype="Float64")
-        mean[n == 0] = pd.NA
-        return pd.DataFrame({"doc_id": docs["doc_id"], "n_words": n, "log_score": log, "mean_log_score": mean})
 
-    return run
+def _result(found: DataFrame, log: Column) -> DataFrame:
+    score = F.when(F.col("n_words") > 0, log / F.lit(float(UNIT))).otherwise(0.0)
+    return found.select("doc_id", "n_words", score.alias("log_score"), F.when(F.col("n_words") > 0, score / F.col("n_words")).alias("mean_log_score"))
 
 
-def backoff_scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, least: int = LEAST) -> DataFrame:
-    """(doc_id, n_words, log_score, mean_log_score) of every row of docs (doc_id, text)."""
+def backoff_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
+    """(doc_id, n_words, log_score, mean_log_score) of every row of docs (doc_id, text), by the counts of all docs."""
+    if order < 2:
+        raise ValueError("order must be 2 or more")
     spark = docs.sparkSession
     base.tune(spark)
-    docs = base.pick(docs, ["doc_id", "text"]).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()["b"]
-    batches = max(1, -(-size // BATCH_BYTES))
-    tables = max(TABLES, 1 << (size // 6 // TABLE_KEYS).bit_length())
-    docs = docs.withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)))
-    docs = docs.withColumn("doc_id", F.col("doc_id").cast("string"))  # pandas would make floats of ids beside a null
-    counts, total = None, 0
-    for n in range(1, order + 1):
-        group = docs.groupBy("batch")
-        sent = group.applyInPandas(_send(n, tables, least), _SENT) if n == 1 else group.cogroup(counts.groupBy("batch")).applyInPandas(_send(n, tables, least), _SENT)
-        if n == 1:
-            sent, path = base.stored(sent, "words")
-            total = sent.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n")).first()["n"]
-        back, _ = base.stored(sent.groupBy("bucket").applyInPandas(_count, _BACK), "counts")
-        if n == 1:
-            base.drop_path(spark, path)
-        counts = back if counts is None else counts.unionByName(back)
+    docs = _rows(docs)
+    run, schema = _lengths(order)
+    found, _ = base.stored(docs.mapInArrow(run, schema), "lengths")
+    short = _bit_map(found.where("short is not null").select(F.col("short").alias("gram")).distinct())
+    total, size = found.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0], docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    classes = max(1, min(CLASSES, -(-size // CLASS_BYTES)))
+    sums = []
+    for p in range(classes):
+        run, schema = _counted(list(range(1, order + 1)), p, classes, short)
+        table = docs.select("text").mapInArrow(run, schema).groupBy("gram").agg(F.sum("many").alias("c")).where("c > 1")
+        table, table_path = base.stored(table.select("gram", units(F.col("c")).alias("log")), "counts")
         base.sweep(spark)
-    out = docs.groupBy("batch").cogroup(counts.groupBy("batch")).applyInPandas(_score(order, least, backoff, total), "doc_id string, n_words long, log_score double, mean_log_score double")
-    return out.withColumn("doc_id", F.col("doc_id").cast("long"))
+        run, schema = _weighted(order, p, classes, _bit_map(table.select("gram")))
+        part = docs.select("key", "text").mapInArrow(run, schema).join(table, "gram").groupBy("key").agg(F.sum(F.col("weight") * F.col("log")).alias("log"))
+        sums.append(base.stored(part, "sums")[0])
+        base.drop_path(spark, table_path)
+        base.sweep(spark)
+    every = sums[0]
+    for s in sums[1:]:
+        every = every.unionByName(s)
+    every = every.groupBy(F.col("key").alias("k")).agg(F.sum("log").alias("log"))
+    # rows that repeat have all sent the same: each gets its share
+    times = found.groupBy(F.col("key").alias("k")).agg(F.count(F.lit(1)).alias("times"))
+    each, _ = base.stored(times.join(every, "k", "left").select("k", F.expr("coalesce(log, 0L) div times").alias("log")), "each")
+    whole = found.join(each, F.col("key") == F.col("k"))
+    return _result(whole, F.col("log") - F.round(F.ln(F.lit(max(1, total))) * UNIT).cast("long"))
+
+
+def _exploded(order: int):
+    """(key, place, n, gram) of every n-gram of every text, by the place of its last word."""
+
+    def run(batches):
+        for b in batches:
+            keys = b.column(0).to_numpy()
+            for i, _, h, ptr in _texts(b, 1):
+                for n in range(1, order + 1):
+                    gram, of, place = grams(h, ptr, n)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[i + of]), pa.array(place + n - 1), pa.array(np.full(len(gram), n, np.int32)), pa.array(gram.view(np.int64))], names=["key", "place", "n", "gram"])
+
+    return run, "key long, place long, n int, gram long"
+
+
+def score_against(docs: DataFrame, corpus: DataFrame, order: int = ORDER, backoff: float = BACKOFF) -> DataFrame:
+    """(doc_id, n_words, log_score, mean_log_score) of every row of docs (doc_id, text), by the counts of corpus (doc_id, text)."""
+    spark = docs.sparkSession
+    base.tune(spark)
+    run, schema = _exploded(order)
+    counted = _rows(corpus).select("key", "text").mapInArrow(run, schema).groupBy("gram", "n").agg(F.count(F.lit(1)).alias("c"))
+    table, _ = base.stored(counted, "counts")
+    total = max(1, table.where("n = 1").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0])
+    rows = _rows(docs)
+    asked = rows.dropDuplicates(["key"]).select("key", "text").mapInArrow(run, schema)
+    joined = asked.join(table.select("gram", "c"), "gram", "left")
+    at = joined.groupBy("key", "place").agg(F.max("n").alias("most"), *[F.coalesce(F.max(F.when(F.col("n") == n, F.col("c"))), F.lit(0)).alias(f"c{n}") for n in range(1, order + 1)])
+    before = Window.partitionBy("key").orderBy("place")
+    at = at.select("*", *[F.lag(f"c{n}").over(before).alias(f"b{n}") for n in range(1, order)])
+    down = units(F.lit(backoff))
+    log = F.when(F.col("c1") > 0, units(F.col("c1"))).otherwise(down * order - down * (F.col("most") - 1)) - units(F.lit(total)) + down * (F.col("most") - 1)
+    for n in range(2, order + 1):
+        log = F.when(F.col(f"c{n}") > 0, units(F.col(f"c{n}")) - units(F.col(f"b{n - 1}")) + down * (F.col("most") - n)).otherwise(log)
+    each = at.groupBy(F.col("key").alias("k")).agg(F.sum(log).alias("log"), F.count(F.lit(1)).alias("n_words"))
+    each, _ = base.stored(each, "each")
+    whole = rows.join(each, F.col("key") == F.col("k"), "left").select("doc_id", F.coalesce("n_words", F.lit(0)).cast("long").alias("n_words"), F.coalesce("log", F.lit(0)).alias("log"))
+    return _result(whole, F.col("log"))

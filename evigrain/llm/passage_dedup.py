@@ -254,7 +254,7 @@ def paragraph_links(docs: DataFrame, bands: DataFrame, where: DataFrame, least:
     rows, rows_path = base.stored(buckets.prefix_lists(open_sets, percent), "prefixes")
     parts = buckets.shared_lists(rows)
     base.drop_path(spark, rows_path)
-    out = buckets.resolve(buckets.union(parts), percent, lambda p: _verify(open_sets, p, percent), known=links)
+    out = buckets.resolve(buckets.union(parts), percent, lambda p: _verify(open_sets, p, percent), known=(links, comp))
     for path in (sets_path, open_path, *(p for _, p in parts)):
         base.drop_path(spark, path)
     return out
@@ -333,9 +333,9 @@ def _repeated_runs(docs: DataFrame, seeds: DataFrame, least: int) -> DataFrame:
     spark = docs.sparkSession
     parts = buckets.shared_lists(seeds.select(F.col("key").alias("token"), "doc_id"), "doc_id")
     run, schema = _runs(least)
-    every = []
-    for p in range(buckets.PASSES):  # documents by hash class, which bounds the shuffled texts on disk
-        mine = F.pmod(F.xxhash64("doc_id"), F.lit(buckets.PASSES)) == p
+    every, many = [], len(parts)
+    for p in range(many):  # documents by hash class, which bounds the shuffled texts on disk
+        mine = F.pmod(F.xxhash64("doc_id"), F.lit(many)) == p
         own = buckets.union(parts).where(mine).groupBy(F.col("doc_id").alias("d")).agg(F.collect_set("token").alias("seeds"))
         some = docs.where("text is not null").where(mine).join(own, F.col("doc_id") == F.col("d")).select("doc_id", "text", "seeds")
         every.append(base.stored(some.mapInArrow(run, schema), "runs"))
@@ -343,8 +343,9 @@ def _repeated_runs(docs: DataFrame, seeds: DataFrame, least: int) -> DataFrame:
     for _, path in parts:
         base.drop_path(spark, path)
     runs, found = buckets.union(every), []
-    for p in range(buckets.PASSES):
-        part = runs.where(F.pmod("key", F.lit(buckets.PASSES)) == p)
+    many = buckets.passes(runs.count())
+    for p in range(many):
+        part = runs.where(F.pmod("key", F.lit(many)) == p)
         first, first_path = base.stored(part.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("key", "first"), "first")
         base.sweep(spark)
         later = part.join(first, "key").where("doc_id > first").groupBy("doc_id").agg(F.collect_set("key").alias("some"))

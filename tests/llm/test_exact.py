@@ -103,31 +103,49 @@ def test_nested_short_texts_are_one_component(spark):
     assert all(got[100 * n + m] == 100 * n + n for n in range(6, 12) for m in (n, n + 1))
 
 
-def test_backoff_scores(spark, docs, texts, monkeypatch):
-    monkeypatch.setattr(ngram_lm, "BATCH_BYTES", 100_000)
-    got = {r["doc_id"]: r for r in ngram_lm.backoff_scores(docs).collect()}
+def plain_backoff(words, count, total, order=3, backoff=0.4):
+    s = 0.0
+    for i in range(len(words)):
+        top = min(order, i + 1)
+        n = next((n for n in range(top, 0, -1) if count[n][tuple(words[i - n + 1 : i + 1])]), 0)
+        if not n:
+            s += order * math.log(backoff) - math.log(total)
+            continue
+        below = total if n == 1 else count[n - 1][tuple(words[i - n + 1 : i])]
+        s += math.log(count[n][tuple(words[i - n + 1 : i + 1])] / below) + (top - n) * math.log(backoff)
+    return s
+
+
+def plain_counts(words):
+    return [collections.Counter(tuple(w[i : i + n]) for w in words for i in range(len(w) - n + 1)) for n in range(4)]
+
+
+def test_backoff_query_counts_every_ngram(spark, texts, monkeypatch):
+    monkeypatch.setattr(ngram_lm, "CLASS_BYTES", 200_000)
+    got = {r["doc_id"]: r for r in queries.op3_stupid_backoff(spark, DATA).collect()}
     words = {i: WORD.findall(t.translate(LOWER)) for i, t in texts.items()}
-    count = [collections.Counter(tuple(w[i : i + n]) for w in words.values() for i in range(len(w) - n + 1)) for n in range(4)]
-    total = sum(count[1].values())
+    count = plain_counts(words.values())
     for d, w in words.items():
-        s = 0.0
-        for i in range(len(w)):
-            top = min(3, i + 1)
-            n = next(n for n in range(top, 0, -1) if n == 1 or count[n][tuple(w[i - n + 1 : i + 1])] >= 2)
-            below = total if n == 1 else count[n - 1][tuple(w[i - n + 1 : i])]
-            s += math.log(count[n][tuple(w[i - n + 1 : i + 1])] / below) + (top - n) * math.log(0.4)
-        assert got[d]["n_words"] == len(w) and got[d]["log_score"] == pytest.approx(s, rel=1e-9, abs=1e-9)
-
-
-def test_backoff_query_counts_every_ngram(spark, docs, texts, monkeypatch):
-    monkeypatch.setattr(ngram_lm, "BATCH_BYTES", 100_000)
-    got = {r["doc_id"]: r["log_score"] for r in queries.op3_stupid_backoff(spark, DATA).collect()}
+        assert got[d]["n_words"] == len(w) and got[d]["log_score"] == pytest.approx(plain_backoff(w, count, sum(count[1].values())), rel=1e-9, abs=1e-5)
+
+
+def test_backoff_of_short_and_repeated_rows(spark):
+    rows = [(1, "a"), (1, "a"), (2, "a b"), (3, "a b c"), (4, "a b c"), (5, "b c d a b"), (6, ""), (7, None), (None, "b"), (8, "a"), (8, "b c")]
+    words = [(i, (t or "").split()) for i, t in rows]
+    count = plain_counts([w for _, w in words])
+    got = [(r["doc_id"], r["n_words"], r["log_score"]) for r in ngram_lm.backoff_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    want = [(i, len(w), plain_backoff(w, count, sum(count[1].values()))) for i, w in words]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+    for a, b in zip(sorted(got, key=key), sorted(want, key=key), strict=True):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], abs=1e-6)
+
+
+def test_backoff_against_another_corpus(spark, docs, texts):
+    got = {r["doc_id"]: r for r in ngram_lm.score_against(docs, docs.where("doc_id % 3 = 0")).collect()}
     words = {i: WORD.findall(t.translate(LOWER)) for i, t in texts.items()}
-    count = [collections.Counter(tuple(w[i : i + n]) for w in words.values() for i in range(len(w) - n + 1)) for n in range(4)]
+    count = plain_counts([w for i, w in words.items() if i % 3 == 0])
     for d, w in words.items():
-        top = [min(3, i + 1) for i in range(len(w))]
-        s = sum(math.log(count[n][tuple(w[i - n + 1 : i + 1])] / (sum(count[1].values()) if n == 1 else count[n - 1][tuple(w[i - n + 1 : i])])) for i, n in enumerate(top))
-        assert got[d] == pytest.approx(s, rel=1e-9, abs=1e-9)
+        assert got[d]["n_words"] == len(w) and got[d]["log_score"] == pytest.approx(plain_backoff(w, count, sum(count[1].values())), rel=1e-9, abs=1e-4)
 
 
 def test_codec_round_trip(spark, texts):
