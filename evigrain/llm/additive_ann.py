@@ -3,12 +3,13 @@
 A vector is coded as a sum of CODEBOOKS codewords, each of full dimension, one of each codebook. Codebooks are
 fitted one after the other to what the earlier ones leave over, on a bounded sample; codes are found by beam
 search, which keeps BEAM partial sums a vector. The index holds every vector's codes, and its norm
-beside its code's norm. A query builds a table of inner products with all codewords; a vector's
+beside its code's norm; what is coded is the vector's direction, so components of any size are coded alike.
+A query builds a table of inner products with all codewords; a vector's
 score is the sum of its codes' entries, scaled by its stored norms. The best SHORTLIST of each block of the index
 are rescored with the original vectors in double precision. The index holds each distinct vector once, with its k + 1
 smallest vec_ids, which is all that any query can return; they come out after rescoring, so copies never crowd the shortlist.
 
-Queries are taken in groups of QUERY_GROUP, which bounds what is broadcast; each group meets every block
+Queries are taken in groups of some QUERY_GROUP, which bounds what is broadcast, GROUPS_AT_ONCE of them in jobs that run side by side; each group meets every block
 of the index, and a block sends back its best k alone. Every distinct vector is indexed; nothing is capped but the shortlist, whose recall tests measure.
 
 Nulls and edges: vectors that are null, zero or hold null or non-finite components take no part, nor does a null
@@ -19,6 +20,8 @@ Other columns are ignored.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from . import base
 
 CODEBOOKS, WORDS, BEAM, SAMPLE = 12, 256, 4, 16_384
-SHORTLIST, QUERY_GROUP, BLOCK = 400, 4096, 8192
+SHORTLIST, QUERY_GROUP, BLOCK, GROUPS_AT_ONCE = 400, 16_384, 8192, 4
 
 
 def fit_codebooks(x: np.ndarray, m: int = CODEBOOKS, k: int = WORDS, rounds: int = 8, seed: int = 3) -> np.ndarray:
@@ -83,6 +86,15 @@ def decode(codes: np.ndarray, books: np.ndarray) -> np.ndarray:
     return sum(books[j][codes[:, j]] for j in range(len(books)))
 
 
+def directions(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(unit vectors, norms) of rows that are not zero, also where squares of components overflow or vanish."""
+    most = np.abs(x).max(axis=1, initial=0.0, keepdims=True)
+    y = x / np.where(most > 0, most, 1.0)
+    norm = np.linalg.norm(y, axis=1, keepdims=True)
+    with np.errstate(over="ignore"):
+        return y / np.where(norm > 0, norm, 1.0), (norm * most)[:, 0]
+
+
 def _as_matrix(blobs) -> np.ndarray:
     rows = blobs.to_pylist()
     return np.frombuffer(b"".join(rows)).reshape(len(rows), -1)
@@ -94,8 +106,9 @@ def _index(books):
     def run(batches):
         for b in batches:
             x = _as_matrix(b.column(1))
-            codes = encode(x, books.value)
-            norm, got = np.linalg.norm(x, axis=1), np.linalg.norm(decode(codes, books.value), axis=1)
+            unit, norm = directions(x)
+            codes = encode(unit, books.value)
+            got = np.linalg.norm(decode(codes, books.value), axis=1)
             scale = np.where(got > 0, norm / np.maximum(got, 1e-30), 1.0)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(scale)], names=["ids", "vec", "codes", "scale"])
 
@@ -108,20 +121,22 @@ def _search(queries, books, k: int, shortlist: int):
     def block(ids, many, x, codes, scale):
         first = np.cumsum(many) - many
         qid, q = queries.value
-        c = books.value
+        c, toward = books.value, directions(q)[0]
         for at in range(0, len(qid), 64):
             some = q[at : at + 64]
-            table = np.einsum("qd,mkd->mqk", some.astype(np.float32), c, optimize=True)
+            table = np.einsum("qd,mkd->mqk", toward[at : at + 64].astype(np.float32), c, optimize=True)
             score = np.zeros((len(some), len(x)), np.float32)
             for j in range(len(c)):
                 score += table[j][:, codes[:, j]]
-            score *= scale.astype(np.float32)
+            with np.errstate(over="ignore"):
+                score = score * scale
             n = min(shortlist, len(x))
             near = np.argpartition(-score, n - 1, axis=1)[:, :n]
             rows = []
             for i in range(len(some)):
                 some_of = many[near[i]]
-                exact = np.repeat((x[near[i]] * some[i]).sum(axis=1), some_of)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    exact = np.repeat((x[near[i]] * some[i]).sum(axis=1), some_of)
                 own = ids[np.arange(len(exact)) + np.repeat(first[near[i]] - (np.cumsum(some_of) - some_of), some_of)]
                 other = own != qid[at + i]
                 own, exact = own[other], exact[other]
@@ -180,21 +195,25 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, shortlist: int =
     slot = F.pmod(F.xxhash64("vec_id", F.lit("fit")), F.lit(1_000_000))
     sample = found.where(slot < min(1_000_000, int(1e6 * SAMPLE / max(1, n)))).orderBy(F.xxhash64("vec_id")).limit(SAMPLE)
     sample = [np.frombuffer(r["vec"]) for r in sample.select("vec").collect()]  # SAMPLE vectors at most
-    books = spark.sparkContext.broadcast(fit_codebooks(np.array(sample).reshape(len(sample), dim)))
+    books = spark.sparkContext.broadcast(fit_codebooks(directions(np.array(sample).reshape(len(sample), dim))[0]))
     run, schema = _index(books)
-    parts = max(1, min(256, -(-n // BLOCK)))
+    parts = max(1, -(-n // BLOCK))
     copy = F.row_number().over(Window.partitionBy("vec").orderBy("vec_id"))
     one_each = found.withColumn("copy", copy).where(F.col("copy") <= k + 1).groupBy("vec").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).select("ids", "vec")
     index, _ = base.stored(one_each.mapInArrow(run, schema).repartition(parts), "index")
-    asked = found.where(is_query).withColumn("group", F.pmod(F.xxhash64("vec_id"), F.lit(-(-n // QUERY_GROUP))))
-    groups = sorted(r["group"] for r in asked.select("group").distinct().collect())
-    empty = spark.createDataFrame([], "query_id long, vec_id long, score double")
-    results = [empty]
-    for g in groups:
-        rows = asked.where(F.col("group") == g).select("vec_id", "vec").collect()  # some QUERY_GROUP queries
-        q = spark.sparkContext.broadcast((np.array([r["vec_id"] for r in rows]), np.array([np.frombuffer(r["vec"]) for r in rows])))
+    asked, _ = base.stored(found.where(is_query), "asked")
+    groups = max(1, -(-asked.count() // QUERY_GROUP))
+
+    def answer(g: int) -> DataFrame:
+        rows = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(groups)) == g).collect()  # some QUERY_GROUP queries
+        q = spark.sparkContext.broadcast((np.array([r["vec_id"] for r in rows], np.int64), np.array([np.frombuffer(r["vec"]) for r in rows]).reshape(len(rows), dim)))
         run, schema = _search(q, books, k, shortlist)
-        results.append(base.stored(index.coalesce(parts).mapInArrow(run, schema), "near")[0])
+        out, _ = base.stored(index.mapInArrow(run, schema), "near")
+        q.unpersist()
+        return out
+
+    with ThreadPoolExecutor(min(GROUPS_AT_ONCE, groups)) as pool:
+        results = list(pool.map(answer, range(groups)))
     best = results[0]
     for r in results[1:]:
         best = best.unionByName(r)

@@ -61,11 +61,11 @@ def sweep(spark: SparkSession, every: float = 2.0) -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Write df as Parquet in the shared folder and read it again: lineage is cut, and lost executors lose nothing."""
+def stored(df: DataFrame, name: str, by: str | None = None) -> tuple[DataFrame, str]:
+    """Write df as Parquet in the shared folder, in a folder for each value of `by`, and read it again: lineage is cut, and lost executors lose nothing."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

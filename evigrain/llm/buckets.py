@@ -18,7 +18,7 @@ LOOK_BACK = 12
 #: Counters of the frequency sketch, and the blocks in which they are summed.
 WIDTH, BLOCKS = 1 << 22, 64
 #: Hash classes that are looked at in turn, at most, and rows of one: this bounds the shuffle files on disk.
-PASSES, PASS_ROWS = 4, 2_000_000
+PASSES, PASS_ROWS = 2, 5_000_000
 
 
 class Sketch:

@@ -44,13 +44,13 @@ LEAST_WORDS, PERCENT, RECALL = 24, 80, 0.995
 def tune_bands(threshold: float, recall: float, most: int = 64) -> tuple[int, int]:
     """(bands, rows) of least cost whose recall at the threshold suffices; one row in as many bands as it takes, where `most` hashes do not do.
 
-    The cost counts band keys, and 30 for each band in which a paragraph meets one that is half as like as the threshold.
+    The cost counts band keys, and 10 for each band in which a paragraph meets one that is half as like as the threshold.
     """
     found = []
     for rows in range(1, 9):
         bands = max(1, math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows))) if threshold < 1 else 1
         if rows == 1 or bands * rows <= most:
-            found.append((bands * (1 + 30 * (threshold / 2) ** rows), rows, bands))
+            found.append((bands * (1 + 10 * (threshold / 2) ** rows), rows, bands))
     _, rows, bands = min(found)
     return bands, rows
 
@@ -365,15 +365,13 @@ def repeated_units(docs: DataFrame, least: int = LEAST_WORDS, percent: int = PER
     """(repeats_of, runs, paragraphs): what each document repeats of an earlier one."""
     spark = docs.sparkSession
     run, schema = _census(least, percent, k)
-    found, found_path = base.stored(docs.where("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, schema), "units")
+    found, found_path = base.stored(docs.where("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, schema), "units", by="kind")
     again = _repeated_runs(docs, found.where("kind = 0").select("key", "doc_id"), least)
-    paras, paras_path = base.stored(found.where("kind = 2").select("fp", "doc_id", "n", "place"), "paragraphs")
-    bands, bands_path = base.stored(found.where("kind = 1").select(F.col("key").alias("token"), "fp", "n"), "bands")
-    base.drop_path(spark, found_path)
+    base.drop_path(spark, f"{found_path}/kind=0")
+    paras, bands = found.where("kind = 2").select("fp", "doc_id", "n", "place"), found.where("kind = 1").select(F.col("key").alias("token"), "fp", "n")
     where, where_path = base.stored(paras.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")), "first")
     base.sweep(spark)
     links = paragraph_links(docs, bands, where, least, percent, k)
-    base.drop_path(spark, bands_path)
     comp = base.components(links)
     placed = where.join(comp, where["fp"] == comp["node"], "left").select("fp", "doc_id", "last", F.coalesce("component", "fp").alias("c"))
     placed, _ = base.stored(placed, "placed")
@@ -383,7 +381,7 @@ def repeated_units(docs: DataFrame, least: int = LEAST_WORDS, percent: int = PER
     lines = paras.join(copies, F.col("fp") == F.col("f")).where("doc_id > first").groupBy(F.col("doc_id").alias("d")).agg(F.collect_set("place").alias("paragraphs"))
     out = again.join(lines, F.col("doc_id") == F.col("d"), "full").select(F.coalesce("doc_id", "d").alias("repeats_of"), "runs", "paragraphs")
     out, _ = base.stored(out, "repeats")
-    for path in (paras_path, where_path):
+    for path in (found_path, where_path):
         base.drop_path(spark, path)
     base.sweep(spark)
     return out

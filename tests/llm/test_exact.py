@@ -223,6 +223,22 @@ def test_many_copies_of_a_vector_tie_to_the_smallest_ids(spark):
         assert own.sort_values("rank")["vec_id"].tolist() == np.lexsort((np.arange(len(s)), -s))[:20].tolist()
 
 
+def test_search_among_components_of_any_size(spark):
+    rng = np.random.default_rng(12)
+    x = rng.standard_normal((6000, 24))
+    x[17] *= 1e39
+    x[18] *= 1e-39
+    x[19:25] *= 1e6
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = additive_ann.nearest(df, F.col("vec_id") % 100 == 0, k=20).toPandas()
+    hits = []
+    for q, own in got.groupby("query_id"):
+        s = (x * x[q]).sum(axis=1)
+        s[q] = -np.inf
+        hits.append(len(set(own["vec_id"]) & set(np.lexsort((np.arange(len(s)), -s))[:20])) / 20)
+    assert len(hits) == 60 and np.mean(hits) >= 0.9
+
+
 def test_passages(spark):
     rng = np.random.default_rng(4)
     word = lambda n: " ".join(f"v{i}" for i in rng.integers(0, 10**6, n))
