@@ -11,9 +11,10 @@ counts are planned in levels: at multiplicity m the instance holds count // m of
 about BASE documents; its well-filled sequences are taken m times and the rest goes to m / 2, to 1 at last, where all is packed.
 
 Each instance is solved by islands, one task each: populations start from best fit on jittered
-orders; crossover injects whole well-filled bins of one parent, drops the other's bins that now
-hold documents twice, and places displaced documents by best fit, largest first; mutation empties the worst bins. After each epoch the elite of each
-island moves on to the next.
+orders and from bins filled with the least slack; crossover injects whole well-filled bins of one parent, drops the other's bins that now
+hold documents twice, and places displaced documents by best fit, largest first; mutation empties the worst bins and some others and
+fills them anew with the least slack. After each epoch the elite of each
+island moves on to the next; epochs end when one brings no gain, or the bound is met.
 
 Nulls and edges: a null text counts as empty, which is one piece of length 1 (the id 2); a null
 doc_id is packed like others; repeated rows are packed each; an empty table gives no rows. Other columns are ignored.
@@ -36,10 +37,10 @@ from pyspark.sql import functions as F
 from . import base
 
 CAPACITY, END_ID = 1024, 2
-#: Documents of one planned instance, about; islands, epochs and generations of an epoch.
-BASE, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 3000, 6, 2, 12, 6
-#: Shares of each length in which ranks are counted.
-SHARES = 256
+#: Documents of one planned instance, about; islands, epochs and generations of an epoch, and of the one epoch of a level whose loose bins are packed again.
+BASE, ISLANDS, EPOCHS, GENERATIONS, ROUGH, POPULATION = 3000, 6, 8, 60, 10, 10
+#: Pieces of one length and share, about, among which ranks are counted in one task.
+SHARE_ROWS = 4096
 #: Word pieces that a worker remembers.
 REMEMBERED = 300_000
 
@@ -192,20 +193,73 @@ def crossover(one: list[list[int]], two: list[list[int]], counts: np.ndarray, ca
     return place(child, np.repeat(np.arange(len(left)), left)[::-1], capacity)
 
 
+def complete(mask: int, counts, room: int, depth: int, tries: int) -> list[int]:
+    """At most `depth` lengths in stock that fill room with little slack; tries: firsts that are looked at."""
+    low = mask & ((1 << (room + 1)) - 1)
+    if not low:
+        return []
+    top = low.bit_length() - 1
+    if depth == 1 or top == room:
+        return [top]
+    best, size, first = [top], top, top
+    while first > 0 and tries > 0 and first * depth > size:
+        counts[first] -= 1
+        rest = complete(mask if counts[first] else mask & ~(1 << first), counts, room - first, depth - 1, 8)
+        counts[first] += 1
+        got = first + sum(rest)
+        if got > size:
+            best, size = [first, *rest], got
+            if size == room:
+                break
+        tries -= 1
+        first = (mask & ((1 << first) - 1)).bit_length() - 1
+    return best
+
+
+def fill(counts: np.ndarray, capacity: int, rng) -> list[list[int]]:
+    """Bins of counts[length] documents, each the largest that is left and what fills it up with little slack."""
+    left = counts.tolist()
+    mask = sum(1 << s for s, n in enumerate(left) if n)
+    out = []
+    while mask:
+        b = [mask.bit_length() - 1]
+        while True:
+            for s in b[-1:] if len(b) == 1 else more:
+                left[s] -= 1
+                if not left[s]:
+                    mask &= ~(1 << s)
+            room = capacity - sum(b)
+            more = complete(mask, left, room, 3, int(rng.integers(8, 40))) if room else []
+            if not more:
+                break
+            b += more
+        out.append(b)
+    return out
+
+
 def mutate(bins: list[list[int]], capacity: int, rng) -> list[list[int]]:
-    """Empty the worst bins and some others; place their documents by best fit, largest first."""
+    """Empty the worst bins and some others; fill them anew with the least slack, then place what lies in bad bins by best fit."""
     order = sorted(bins, key=sum)
-    worst = max(1, len(order) // 20)
-    at = set(rng.choice(len(order), max(1, len(order) // 20), replace=False).tolist()) | set(range(worst))
-    out = sorted((s for i in at for s in order[i]), reverse=True)
-    return place([b for i, b in enumerate(order) if i not in at], out, capacity)
+    worst = int(np.searchsorted([sum(b) for b in order], capacity - 1))
+    some = max(2, len(order) // 12)
+    at = set(rng.choice(len(order), min(len(order), some), replace=False).tolist()) | set(rng.permutation(worst)[: 2 * some].tolist()) | set(range(min(worst, some)))
+    counts = np.zeros(capacity + 1, np.int64)
+    for i in at:
+        for s in order[i]:
+            counts[s] += 1
+    new = sorted(fill(counts, capacity, rng), key=sum)
+    lost = max(1, len(new) // 10)
+    return place([b for i, b in enumerate(order) if i not in at] + new[lost:], sorted((s for b in new[:lost] for s in b), reverse=True), capacity)
 
 
 def evolve(counts: np.ndarray, capacity: int, population: list, generations: int, seed: int) -> list:
-    """The population after some generations, best first. An empty one starts from best fit on jittered orders."""
+    """The population after some generations, best first. An empty one starts from best fit on jittered orders and from filled bins."""
     rng = np.random.default_rng(seed)
     items = np.repeat(np.arange(len(counts)), counts)
     while len(population) < POPULATION:
+        if len(population) % 2:
+            population.append(fill(counts, capacity, rng))
+            continue
         jitter = 0 if not population and seed % ISLANDS == 0 else rng.uniform(0, 0.15)
         order = np.argsort(-items * (1 + jitter * rng.standard_normal(len(items))), kind="stable")
         population.append(place([], items[order], capacity))
@@ -216,33 +270,36 @@ def evolve(counts: np.ndarray, capacity: int, population: list, generations: int
             break
         child = crossover(population[0], population[int(rng.integers(1, len(population)))], counts, capacity, rng)
         other = crossover(population[int(rng.integers(1, len(population)))], population[0], counts, capacity, rng)
-        population[-2:] = [mutate(child, capacity, rng), mutate(other, capacity, rng)] if rng.random() < 0.5 else [child, mutate(other, capacity, rng)]
+        population[-2:] = [mutate(child, capacity, rng), mutate(other, capacity, rng)]
     return sorted(population, key=lambda b: -fitness(b, capacity))
 
 
-def solve(spark: SparkSession, counts: np.ndarray, capacity: int) -> list[list[int]]:
+def solve(spark: SparkSession, counts: np.ndarray, capacity: int, epochs: int = EPOCHS, generations: int = GENERATIONS) -> list[list[int]]:
     """Bins for counts[length] documents of each length, by islands with migration of the elite."""
-    state = [[] for _ in range(ISLANDS)]
-    shared = [int(x) for x in counts]
+    state: list[list] = [[] for _ in range(ISLANDS)]
+    shared, least = [int(x) for x in counts], -(-int(sum(s * int(n) for s, n in enumerate(counts))) // capacity)
+    score = None
+    for epoch in range(epochs):
+        now = [json.dumps(p) for p in state]
 
-    def island(pdf):
-        import pandas as pd
+        def island(pdfs, now=now, epoch=epoch):
+            import pandas as pd
 
-        k, epoch, blob = pdf.iloc[0]
-        found = evolve(np.array(shared), capacity, json.loads(blob), GENERATIONS, int(k + ISLANDS * epoch))
-        return pd.DataFrame({"island": [k], "blob": [json.dumps(found)]})
+            for pdf in pdfs:
+                for k in pdf["id"]:
+                    found = evolve(np.array(shared), capacity, json.loads(now[k]), generations, int(k + ISLANDS * epoch))
+                    yield pd.DataFrame({"island": [int(k)], "blob": [json.dumps(found)]})
 
-    for epoch in range(EPOCHS):
-        rows = [(k, epoch, json.dumps(p)) for k, p in enumerate(state)]
-        got = spark.createDataFrame(rows, "island int, epoch int, blob string").groupBy("island").applyInPandas(island, "island int, blob string").collect()
-        for r in got:  # ISLANDS populations of one instance, whose size is bounded
+        for r in spark.range(0, ISLANDS, 1, ISLANDS).mapInPandas(island, "island int, blob string").collect():  # ISLANDS populations of one bounded instance
             state[r["island"]] = json.loads(r["blob"])
         elite = [p[0] for p in state]
-        if min(map(len, elite)) <= -(-sum(s * n for s, n in enumerate(shared)) // capacity):
+        best = max(elite, key=lambda b: fitness(b, capacity))
+        if len(best) <= least or (score is not None and fitness(best, capacity) <= score + 1e-3):
             break
+        score = fitness(best, capacity)
         for k in range(ISLANDS):
             state[k] = [*state[k][: POPULATION - 1], elite[k - 1]]
-    return max((p[0] for p in state), key=lambda b: fitness(b, capacity))
+    return best
 
 
 def plan(spark: SparkSession, counts: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
@@ -255,7 +312,7 @@ def plan(spark: SparkSession, counts: np.ndarray, capacity: int) -> list[tuple[l
     while counts.sum():
         part = counts // m
         if part.sum():
-            bins = [sorted(b, reverse=True) for b in solve(spark, part, capacity)]
+            bins = [sorted(b, reverse=True) for b in solve(spark, part, capacity, *((1, ROUGH) if m > 1 else ()))]
             good = bins if m == 1 else [b for b in bins if sum(b) >= capacity - 1]
             for b in good:
                 for s in b:
@@ -269,14 +326,14 @@ def _dealt(runs):
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
 
     def deal(batches):
-        first, size, seq, many, at, begin = (np.asarray(x) for x in runs.value)
+        first, size, seq, many, begin = (np.asarray(x) for x in runs.value)
         for b in batches:
             length, rank = b.column(3).to_numpy(), b.column(5).to_numpy()
             key = length * (1 << 44) + rank
             k = np.searchsorted(first, key, side="right") - 1
             t = key - first[k]
             place_ = begin[k] + (t % many[k]) * size[k]
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(5)), pa.array(seq[k] + t // many[k]), pa.array(place_ + 0 * at[k])], names=names)
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(5)), pa.array(seq[k] + t // many[k]), pa.array(place_)], names=names)
 
     return deal, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
@@ -289,11 +346,11 @@ def runs_of(patterns: list[tuple[list[int], int]], counts: np.ndarray, capacity:
         at = 0
         for s in sorted(set(b), reverse=True):
             n = b.count(s)
-            rows.append((s * (1 << 44) + int(taken[s]), s, seq, n, 0, at))
+            rows.append((s * (1 << 44) + int(taken[s]), s, seq, n, at))
             taken[s] += n * m
             at += n * s
         seq += m
-    rows.append((capacity * (1 << 44), capacity, seq, 1, 0, 0))
+    rows.append((capacity * (1 << 44), capacity, seq, 1, 0))
     rows.sort()
     return tuple(np.array(c, np.int64) for c in zip(*rows, strict=True))
 
@@ -305,7 +362,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
     docs = base.pick(docs, ["doc_id", "text"]).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     run, schema = _pieces(tokenizer, capacity)
     pieces, _ = base.stored(docs.mapInArrow(run, schema), "pieces")
-    share = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SHARES))
+    # by the digest too, so that rows without a doc_id do not share one
+    share = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(max(1, pieces.count() // SHARE_ROWS)))
     pieces = pieces.withColumn("share", share)
     tally = pieces.groupBy("length", "share").agg(F.count(F.lit(1)).alias("n"))
     tally, _ = base.stored(tally, "tally")
@@ -317,7 +375,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
     runs = spark.sparkContext.broadcast(runs_of(plan(spark, packed, capacity), counts, capacity))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("share").rowsBetween(Window.unboundedPreceding, -1))
     tally = tally.select(F.col("length").alias("l"), F.col("share").alias("s"), F.coalesce(before, F.lit(0)).alias("before"))
-    own = F.row_number().over(Window.partitionBy("length", "share").orderBy("doc_id", "piece"))
+    own = F.row_number().over(Window.partitionBy("length", "share").orderBy("doc_id", "piece", "start"))
     ranked = pieces.withColumn("own", own).join(tally, (F.col("length") == F.col("l")) & (F.col("share") == F.col("s")))
     deal, out = _dealt(runs)
     return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("own") - 1).cast("long").alias("rank")).mapInArrow(deal, out)

@@ -175,6 +175,15 @@ def test_packing_is_whole_and_tight(spark, docs, texts):
     assert out["sequence_id"].nunique() <= 1.02 * math.ceil(out["length"].sum() / 1024)
 
 
+def test_search_beats_best_fit_where_that_is_far_off(spark):
+    items = np.random.default_rng(1).integers(250, 501, 1500)
+    counts, least = np.bincount(items, minlength=1025), -(-int(items.sum()) // 1024)
+    plain = len(packing.place([], np.sort(items)[::-1], 1024))
+    found = packing.solve(spark, counts, 1024)
+    assert sorted(s for b in found for s in b) == sorted(items.tolist()) and max(map(sum, found)) <= 1024
+    assert len(found) - least <= 0.5 * (plain - least)
+
+
 def test_genetic_operators_keep_documents():
     rng = np.random.default_rng(1)
     counts = np.bincount(rng.integers(1, 1000, 300), minlength=1025)
