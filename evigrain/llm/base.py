@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable, Iterable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of one Arrow batch handed to a Python worker; bounds the worker's memory.
@@ -50,7 +50,7 @@ def new_path(spark: SparkSession, name: str) -> str:
 _swept = [0.0]
 
 
-def sweep(spark: SparkSession, every: float = 2.0) -> None:
+def sweep(spark: SparkSession, every: float = 0.7) -> None:
     """Let the driver collect plans that are done, so that their shuffle files go before more are written; not again within `every` seconds."""
     if time.monotonic() - _swept[0] < every:
         return
@@ -69,9 +69,11 @@ def stored(df: DataFrame, name: str, by: str | None = None) -> tuple[DataFrame,
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def _digest(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
-    return row["n"], row["x"]
+def _round(edges: DataFrame) -> tuple[DataFrame, str, tuple]:
+    """edges stored, their path, and a digest of them."""
+    seen = Observation()
+    out, path = stored(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")), "edges")
+    return out, path, (seen.get["n"], seen.get["x"])
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -89,8 +91,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .select(F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b"))
         .distinct()
     )
-    cur, path = stored(cur, "edges")
-    sign = _digest(cur)
+    cur, path, sign = _round(cur)
     for _ in range(max_rounds):
         if not sign[0]:
             break
@@ -108,8 +109,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             .where("a <> b")
             .distinct()
         )
-        nxt, npath = stored(small, "edges")
-        nsign = _digest(nxt)
+        nxt, npath, nsign = _round(small)
         drop_path(spark, path)
         cur, path = nxt, npath
         if nsign == sign:

@@ -39,6 +39,8 @@ from . import base
 CAPACITY, END_ID = 1024, 2
 #: Documents of one planned instance, about; islands, epochs and generations of an epoch, and of the one epoch of a level whose loose bins are packed again.
 BASE, ISLANDS, EPOCHS, GENERATIONS, ROUGH, POPULATION = 3000, 6, 8, 60, 10, 10
+#: Generations without a gain after which an island waits for the next epoch.
+PATIENCE = 8
 #: Pieces of one length and share, about, among which ranks are counted in one task.
 SHARE_ROWS = 4096
 #: Word pieces that a worker remembers.
@@ -264,9 +266,12 @@ def evolve(counts: np.ndarray, capacity: int, population: list, generations: int
         order = np.argsort(-items * (1 + jitter * rng.standard_normal(len(items))), kind="stable")
         population.append(place([], items[order], capacity))
     least = -(-int(items.sum()) // capacity)
+    best, since = -np.inf, 0
     for _ in range(generations):
         population.sort(key=lambda b: -fitness(b, capacity))
-        if len(population[0]) <= least:
+        now = fitness(population[0], capacity)
+        best, since = (now, 0) if now > best + 1e-4 else (best, since + 1)
+        if len(population[0]) <= least or since > PATIENCE:
             break
         child = crossover(population[0], population[int(rng.integers(1, len(population)))], counts, capacity, rng)
         other = crossover(population[int(rng.integers(1, len(population)))], population[0], counts, capacity, rng)

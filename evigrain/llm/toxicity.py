@@ -221,11 +221,13 @@ def train(data: np.ndarray, offs: np.ndarray, y: np.ndarray, rounds: int = 4, se
     m["words"][:-1, 0] = odds(df, pos)[often]  # the first input of words and heads starts as their log odds
     m["words"][-1, 0] = 0
     both = np.unique(owner.astype(np.int64) * HEADS + head[where]) if len(kinds) else np.empty(0, np.int64)
+    del seen, owner
     m["heads"][:, 0] = odds(np.bincount(both % HEADS, minlength=HEADS), np.bincount(both % HEADS, weights=y[both // HEADS], minlength=HEADS))
     hint = m["heads"][head, 0] if len(kinds) else np.zeros(0, F32)
     hint[often] += m["words"][:-1, 0]
     sums = np.concatenate([[0], np.cumsum(np.maximum(hint, 0)[where], dtype=np.float64)])
     values = (sums[np.minimum(start + WINDOW, ptr[1:][doc])] - sums[start]).astype(F32)
+    del both, sums
     rng = np.random.default_rng(seed)
     state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in m.items()}
     steps = 0
@@ -308,6 +310,7 @@ def _probabilities(fitted: dict, col: pa.Array) -> pa.Array:
 
 def _fitted(docs: DataFrame, labels: DataFrame, max_train: int) -> dict:
     docs = base.pick(docs, ["doc_id", "text"]).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    base.sweep(docs.sparkSession, 0)
     sample = training_rows(docs, labels, "toxic", 5, 0, False, max_train).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y")
     sample = sample.where(F.octet_length("text") <= MAX_BYTES // 40).limit(max_train + max_train // 20).toPandas().sort_values(["doc_id", "text"])
     sample = sample[sample["text"].str.len().cumsum() <= MAX_BYTES]
@@ -315,7 +318,8 @@ def _fitted(docs: DataFrame, labels: DataFrame, max_train: int) -> dict:
     y = sample["y"].to_numpy(np.float64)
     del sample
     fitted = train(data, offs, y)
-    base.sweep(docs.sparkSession)
+    del data, offs
+    base.sweep(docs.sparkSession, 0)
     return fitted
 
 
