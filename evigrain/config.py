@@ -12,6 +12,20 @@ class ConfigError(ValueError):
     """A setting that is unknown, out of range, or at odds with another."""
 
 
+#: The least and the most that settings of a file may be.
+RANGES: dict[str, tuple[float | None, float | None]] = {
+    "dpi": (72, 400), "page_image_dpi": (72, 400), "minimum_page_image_dpi": (72, 400), "num_workers": (1, None), "native_text_min_chars_per_page": (0, None),
+    "model_context_tokens": (1, None), "minimum_output_and_safety_reserve_tokens": (1, None), "question_reserve_tokens": (0, None), "system_prompt_reserve_tokens": (0, None),
+    "provisional_image_tokens_per_megapixel": (0, None), "candidates_per_document": (1, 20), "batches_per_document": (1, 10), "hard_min_evidence_nodes": (2, 12),
+    "hard_min_evidence_pages": (2, 8), "hard_min_dependent_operations": (2, 12), "max_structure_repair_attempts": (0, 2), "max_tasks_per_document": (1, 20),
+    "bbox_match_iou": (0, 1), "max_evidence_page_jaccard": (0, 1), "max_evidence_region_jaccard": (0, 1), "max_prompt_token_jaccard": (0, 1), "max_page_operation_jaccard": (0, 1),
+    "minimum_evidence_nodes": (2, None), "minimum_dependent_operations": (2, None), "context_window_tokens": (1, None), "max_output_tokens": (1, None), "temperature": (0, 2), "top_p": (0, 1),
+    "max_reconstruction_attempts": (1, 3), "minimum_reconstructed_answer_chars": (1, None), "audit_crop_padding_ratio": (0, 1), "audit_crop_min_side_pixels": (32, None),
+    "audit_bbox_min_page_token_coverage": (0, 1), "audit_bbox_min_relative_token_coverage": (0, 1), "audit_bbox_repair_max_blocks": (1, 20),
+    "audit_bbox_repair_min_token_coverage": (0, 1), "audit_bbox_repair_min_improvement": (0, 1),
+}
+
+
 @dataclass
 class Security:
     forbidden_input_roots: list[str] = field(default_factory=lambda: ["benchmarks"])
@@ -95,6 +109,8 @@ class Verification:
     minimum_reconstructed_answer_chars: int = 256
     require_labeled_subquestion_coverage: bool = True
     audit_image_scope: str = "evidence_pages"
+    audit_include_complete_document_text: bool = True
+    audit_include_evidence_crops: bool = True
     audit_crop_padding_ratio: float = 0.10
     audit_crop_min_side_pixels: int = 256
     audit_bbox_min_page_token_coverage: float = 0.45
@@ -110,7 +126,9 @@ class Model:
     base_url: str | None = None
     base_url_env: str | None = None
     context_window_tokens: int | None = None
-    max_output_tokens: int = 12_000
+    max_output_tokens: int = 8000
+    temperature: float | None = None
+    top_p: float | None = None
 
     def check(self) -> None:
         if self.base_url and self.base_url_env:
@@ -124,7 +142,8 @@ class Model:
 class Models:
     generator: Model = field(default_factory=Model)
     verifier: Model = field(default_factory=Model)
-    long_context_verifier: Model | None = None
+    verifier_long_context: Model | None = None
+    judge: Model = field(default_factory=Model)
 
 
 @dataclass
@@ -136,6 +155,9 @@ class Parse:
 
 @dataclass
 class Config:
+    run_id: str = "run"
+    source_manifest: str | None = None
+    secrets_file: str | None = None
     security: Security = field(default_factory=Security)
     parse: Parse = field(default_factory=Parse)
     target_input: TargetInput = field(default_factory=TargetInput)
@@ -158,6 +180,10 @@ def _made(kind: type, values: dict[str, Any], strict: bool) -> Any:
         hint = hints[name]
         inner = next((t for t in getattr(hint, "__args__", (hint,)) if isinstance(t, type) and is_dataclass(t)), None)
         got[name] = _made(inner, values[name], False) if inner and isinstance(values[name], dict) else values[name]
+    for name, value in got.items():
+        low, high = RANGES.get(name, (None, None))
+        if isinstance(value, int | float) and ((low is not None and value < low) or (high is not None and value > high)):
+            raise ConfigError(f"{name} is {value}, which is not within {low} and {high}")
     out = kind(**got)
     if hasattr(out, "check"):
         out.check()
@@ -192,12 +218,16 @@ def load_config(source: str | Path | dict) -> Config:
 
 
 def load_env(path: str | Path, override: bool = False) -> dict[str, str]:
-    """KEY=VALUE lines into the environment; what is set already stays unless override. Returns what was set."""
+    """KEY=VALUE lines into the environment; what is set already stays unless override. Returns what was set. A line that is neither that, nor blank, nor a comment, is an error."""
     out = {}
     if Path(path).exists():
-        for line in Path(path).read_text(encoding="utf-8").splitlines():
+        for n, line in enumerate(Path(path).read_text(encoding="utf-8").splitlines(), 1):
+            if not line.strip() or line.lstrip().startswith("#"):
+                continue
             name, mark, value = line.strip().removeprefix("export ").partition("=")
-            if mark and name.strip() and not name.startswith("#") and (override or name.strip() not in os.environ):
+            if not mark or not name.strip():
+                raise ConfigError(f"{path}, line {n}: no NAME=VALUE")
+            if override or name.strip() not in os.environ:
                 out[name.strip()] = value.strip().strip("'\"")
     os.environ.update(out)
     return out

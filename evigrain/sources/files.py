@@ -45,9 +45,48 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 
 def write_splits(df: DataFrame, path: str, column: str, domain: list[str]) -> None:
-    """One folder for each split, those without rows too."""
+    """One folder column=NAME for each split in one pass over df, those without rows too."""
+    spark = df.sparkSession
+    (df.select(*sorted(df.columns)).write.mode("overwrite").option("ignoreNullFields", "false").partitionBy(column).json(path))
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for name in domain:
-        write_jsonl(df.where(F.col(column) == name).drop(column), f"{path}/{name}")
+        p = jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={name}")
+        p.getFileSystem(conf).mkdirs(p)
+
+
+def read_manifest(spark: SparkSession, path: str | Path) -> DataFrame:
+    """(source_id, url, title, publisher, ordinal, license) of the documents of a YAML source manifest; one without source_id or an address is an error."""
+    import yaml
+
+    raw = yaml.safe_load(Path(path).read_text(encoding="utf-8")) or {}
+    if not raw.get("source_id"):
+        raise ValueError(f"{path} has no source_id")
+    rows = []
+    for n, one in enumerate(raw.get("documents") or []):
+        if not one.get("source_url"):
+            raise ValueError(f"{path}: document {n + 1} has no source_url")
+        lic = tuple(one.get(k) for k in ("license_status", "license_id", "license_evidence_url", "license_review_notes"))
+        rows.append((raw["source_id"], one["source_url"], one.get("title"), one.get("publisher"), n, (lic[0] or "needs_review", *lic[1:])))
+    return spark.createDataFrame(rows, "source_id string, url string, title string, publisher string, ordinal int, license struct<status:string,license_id:string,evidence_url:string,review_notes:string>")
+
+
+def read_packages(spark: SparkSession, root: str, profile: str, schema: StructType | str) -> DataFrame:
+    """Input packages of a profile, one file each; a folder that is not there is an error."""
+    folder = Path(root) / profile
+    if not folder.is_dir():
+        raise FileNotFoundError(f"{folder}: build the input packages first")
+    return read_json_folder(spark, f"{folder}/*.json", schema, "document_id")
+
+
+def read_decisions(spark: SparkSession, pattern: str, schema: StructType | str) -> DataFrame:
+    """Review decisions (sample_id, ...), one file each, named by their sample; a file that names another sample fails the job."""
+    names = spark.createDataFrame([], schema).columns
+    df = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(pattern)
+    own = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]*\.json$", 1)
+    file = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1)
+    good = (F.col("sample_id") == own) | (F.col("sample_id") == file)
+    bad = F.raise_error(F.concat(F.lit("decision of another sample: "), F.col("_metadata.file_path"))).cast("string")
+    return df.withColumn("sample_id", F.when(good, F.col("sample_id")).otherwise(bad)).select(*names)
 
 
 def write_json(path: str | Path, payload: dict) -> None:
@@ -65,7 +104,7 @@ def write_json(path: str | Path, payload: dict) -> None:
 
 
 def data_url(content: Column, media_type: str) -> Column:
-    return F.concat(F.lit(f"data:{media_type};base64,"), F.base64(content))
+    return F.concat(F.lit(f"data:{media_type};base64,"), F.replace(F.base64(content), F.lit("\r\n"), F.lit("")))  # Spark breaks lines after 76 characters
 
 
 def append_new(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
