@@ -41,15 +41,23 @@ def unknown_claim_references(claims: Column, node_ids: Column) -> Column:
     return F.array_except(F.flatten(F.transform(claims, lambda c: c["supported_by"])), known)
 
 
-def ungrounded_claims(claims: Column, node_ids: Column) -> Column:
-    """Claims that rest on an unknown reference or on each other in a circle: those that no fold over all claims, once for each claim, grounds."""
+def _settled(claims: Column, ready) -> Column:
+    """Ids of the claims that become ready, ready(claim, ids so far), in as many rounds as there are claims."""
 
     def sweep(done: Column, _: Column) -> Column:
-        return F.aggregate(
-            claims,
-            done,
-            lambda s, c: F.when(F.size(F.array_except(c["supported_by"], F.concat(node_ids, s))) == 0, F.array_union(s, F.array(c["claim_id"]))).otherwise(s),
-        )
+        return F.aggregate(claims, done, lambda s, c: F.when(ready(c, s), F.array_union(s, F.array(c["claim_id"]))).otherwise(s))
+
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(claims), F.lit(1))), no_texts(), sweep)
+
 
-    grounded = F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(claims), F.lit(1))), no_texts(), sweep)
+def ungrounded_claims(claims: Column, node_ids: Column) -> Column:
+    """Claims of which no reference is evidence or a claim that is grounded itself."""
+    grounded = _settled(claims, lambda c, s: F.arrays_overlap(c["supported_by"], F.concat(node_ids, s)))
     return F.array_except(F.transform(claims, lambda c: c["claim_id"]), grounded)
+
+
+def circular_claims(claims: Column) -> Column:
+    """Claims that rest on each other in a circle, and those that rest on such, whatever else they rest on."""
+    names = F.transform(claims, lambda c: c["claim_id"])
+    straight = _settled(claims, lambda c, s: F.size(F.array_except(F.array_intersect(c["supported_by"], names), s)) == 0)
+    return F.array_except(names, straight)

@@ -22,7 +22,8 @@ def token_set(col: Column) -> Column:
 def alignment_tokens(col: Column) -> Column:
     """Tokens that count for alignment: no stop words, and two characters at least unless digits."""
     stop = F.array(*[F.lit(w) for w in ALIGNMENT_STOPWORDS])
-    return F.filter(token_set(col), lambda t: ~F.array_contains(stop, t) & ((F.length(t) >= 2) | t.rlike("^[0-9]+$")))
+    words = F.regexp_extract_all(F.lower(F.coalesce(col, F.lit(""))), F.lit("[a-z0-9]+"), 0)
+    return F.filter(F.array_except(words, stop), lambda t: (F.length(t) >= 2) | t.between("0", "9"))
 
 
 def ratio(part: Column, whole: Column, empty: float) -> Column:

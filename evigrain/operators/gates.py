@@ -97,7 +97,7 @@ def static_verify(df: DataFrame, conf: Config | None = None) -> DataFrame:
     outside = F.array_except(pages, F.col("view_pages"))
     beyond = F.filter(pages, lambda p: p > F.col("page_count"))
     known = F.concat(nodes, claims)
-    loose_claims = F.array_union(graph.unknown_claim_references(F.col("claims"), nodes), graph.ungrounded_claims(F.col("claims"), nodes))
+    loose_claims = F.array_union(graph.unknown_claim_references(F.col("claims"), nodes), F.array_union(graph.ungrounded_claims(F.col("claims"), nodes), graph.circular_claims(F.col("claims"))))
     bad_rubric = ids_of(F.filter("rubric", lambda r: F.size(F.array_except(r["supported_by"], known)) > 0), "criterion_id")
     bad_derived = ids_of(F.filter("derivations", lambda d: ~F.array_contains(claims, d["result_claim"]) | (F.size(F.array_except(d["inputs"], known)) > 0)), "result_claim")
     criteria, kinds = ids_of(F.col("rubric"), "criterion_id"), ids_of(F.col("rubric"), "criterion_type")

@@ -321,7 +321,7 @@ _FAILED = {"text_only_visibility": "bad_visual", "text_only_evidence_has_extract
 
 @query("select \"check\", count(*) as n_failed from (" + " union all ".join(f"select '{k}' as \"check\" from s where {v}" for k, v in _FAILED.items()) + ") group by 1", None)
 def static_check_histogram(spark, sf_dir):
-    c = gates.static_verify(d.candidates(spark, sf_dir))
+    c = gates.static_verify(d.candidates(spark, sf_dir, False))
     return c.select(F.explode("checks").alias("c")).where("not c.passed").groupBy(F.col("c.check").alias("check")).agg(F.count(F.lit(1)).alias("n_failed"))
 
 
@@ -330,7 +330,7 @@ ORACLES["static_check_histogram"] = with_views(["v_cand", "v_node", "v_op", "v_c
 
 @query("select sample_id, not (" + " or ".join(_FAILED.values()) + ") as passed from s", None)
 def static_verdicts(spark, sf_dir):
-    return gates.static_verify(d.candidates(spark, sf_dir)).select("sample_id", F.col("static_checks_passed").alias("passed"))
+    return gates.static_verify(d.candidates(spark, sf_dir, False)).select("sample_id", F.col("static_checks_passed").alias("passed"))
 
 
 ORACLES["static_verdicts"] = with_views(["v_cand", "v_node", "v_op", "v_claim", "v_page"], "").rstrip() + f", s as ({_STATIC}) " + ORACLES["static_verdicts"]

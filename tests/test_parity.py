@@ -122,3 +122,13 @@ def test_settings_are_held_to_their_ranges(tmp_path):
     (tmp_path / "env").write_text("GOOD=1\nno value here\n")
     with pytest.raises(config.ConfigError, match="line 2"):
         config.load_env(tmp_path / "env")
+
+
+def test_claims_need_one_ground_and_no_circle(spark):
+    from evigrain.functions import graph
+
+    kind = "array<struct<claim_id:string,supported_by:array<string>>>"
+    cases = [("mixed", [("a", ["e1", "b"]), ("b", ["e9"])], ["b"], []), ("circle", [("a", ["e1", "b"]), ("b", ["a"]), ("c", ["b"])], [], ["a", "b", "c"]), ("self", [("a", ["a"])], ["a"], ["a"]), ("chain", [("a", ["b"]), ("b", ["c"]), ("c", ["e1"])], [], []), ("none", [], [], [])]
+    df = spark.createDataFrame([(n, c) for n, c, _, _ in cases], f"name string, claims {kind}")
+    got = {r["name"]: (sorted(r["u"]), sorted(r["k"])) for r in df.select("name", graph.ungrounded_claims(F.col("claims"), F.array(F.lit("e1"))).alias("u"), graph.circular_claims(F.col("claims")).alias("k")).collect()}
+    assert got == {n: (u, k) for n, _, u, k in cases}
