@@ -20,6 +20,7 @@ import hashlib
 import json
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -31,7 +32,7 @@ from . import base
 from .textops import U64, _powers, mix
 
 #: Bytes of the rolling hash's window; mean, least and largest bytes of a chunk; chunks and words that a worker remembers.
-WINDOW, MEAN, LEAST, MOST, REMEMBERED, WORDS = 16, 1024, 256, 4096, 6000, 200_000
+WINDOW, MEAN, LEAST, MOST, REMEMBERED, WORDS = 16, 1024, 256, 4096, 6000, 400_000
 # fixed values: letters and blanks that the pre-tokenizer's pattern tells apart, of ASCII and the first two Latin blocks
 _LETTERS, _BLANKS = "A-Za-zÀ-ÖØ-öø-įı-ſ", "\t-\r "
 _ODD = re.compile(rf"[^\x00-\x7f{_LETTERS}]")
@@ -116,35 +117,61 @@ class ChunkCodec:
                 self.ids[w], self.decoded[w] = self.run(self.library.encode(w, add_special_tokens=False).ids)
         return b"".join(map(self.ids.__getitem__, words)), b" ".join(map(self.decoded.__getitem__, words))
 
-    def learn(self, texts: list[str]) -> None:
-        """Encode the words of texts that are not known yet, in one call."""
+    def learn(self, words: set[str]) -> None:
+        """Encode words that are not known yet, in one call."""
         if len(self.ids) > WORDS:
             self.ids, self.decoded = {}, {}
-        known = self.ids
-        fresh = list({w for t in texts if not _ODD.search(t) for w in set(_WORD.findall(t.lower())) if w not in known})
+        fresh = list(words.difference(self.ids))
+        ids, decoded, token = self.ids, self.decoded, self.token
         for w, e in zip(fresh, self.library.encode_batch_fast(fresh, add_special_tokens=False) if fresh else [], strict=True):
-            self.ids[w], self.decoded[w] = self.run(e.ids)
-
-    def chunk(self, raw: bytes) -> tuple:
-        """(head, inner, tail, first inner word, last inner word): head and tail may go on in the neighbours."""
-        got = self.chunks.get(raw)
-        if got is not None:
-            self.reused += 1
-            return got
-        self.encoded += 1
+            got = e.ids
+            ids[w], decoded[w] = array("I", got).tobytes(), b" ".join([token[i] for i in got])
+
+    def parts(self, raw: bytes) -> tuple:
+        """(head, inner, words of inner or None, tail, first inner word, last inner word): head and tail may go on in the neighbours."""
         text = raw.decode()
         first = _GAP.search(text)
         if first is None:
-            got = (text, None, "", "", "")
-        else:
-            last = max(text.rfind(c) for c in _STRIP)
-            inner = text[first.end() : last] if last > first.end() else ""
-            words = _GAP.split(inner.strip(_STRIP))
-            got = (text[: first.start()], self.plain(inner), text[last + 1 :], words[0] if words else "", words[-1] if words else "")
-        if len(self.chunks) >= REMEMBERED:
-            self.chunks.pop(next(iter(self.chunks)))
-        self.chunks[raw] = got
-        return got
+            return text, None, None, "", "", ""
+        last = max(text.rfind(c) for c in _STRIP)
+        inner = text[first.end() : last] if last > first.end() else ""
+        edge = inner.strip(_STRIP)
+        lead = _GAP.split(edge, maxsplit=1)[0] if edge else ""
+        tail = edge[max(edge.rfind(c) for c in _STRIP) + 1 :]
+        return text[: first.start()], inner, None if _ODD.search(inner) else _WORD.findall(inner.lower()), text[last + 1 :], lead, tail
+
+    def prepare(self, texts: list[str]) -> list[list[bytes] | None]:
+        """The chunks of each text, those that are new encoded; None for a text that goes to the library whole."""
+        out: list[list[bytes] | None] = []
+        fresh: dict[bytes, tuple] = {}
+        for text in texts:
+            if not self.splits or any(a in text for a in self.added):
+                out.append(None)
+                continue
+            raw, at, mine = text.encode(), 0, []
+            for end in cuts(np.frombuffer(raw, np.uint8)).tolist():
+                mine.append(raw[at:end])
+                at = end
+            for c in mine:
+                if c in self.chunks or c in fresh:
+                    self.reused += 1
+                else:
+                    fresh[c] = self.parts(c)
+                    self.encoded += 1
+            out.append(mine)
+        self.learn({w for p in fresh.values() if p[2] for w in p[2]})
+        if len(self.chunks) + len(fresh) > REMEMBERED:  # what is at hand and what came last stay
+            here = {c for mine in out if mine for c in mine}
+            kept = [c for c in self.chunks if c not in here][len(fresh) + len(here) - REMEMBERED :] if len(fresh) + len(here) < REMEMBERED else []
+            self.chunks = {c: self.chunks[c] for c in [*kept, *(c for c in here if c in self.chunks)]}
+        ids, decoded = self.ids.__getitem__, self.decoded.__getitem__
+        for c, (head, inner, words, tail, first, last) in fresh.items():
+            if words is None:
+                made = None if inner is None else self.plain(inner)
+            else:
+                made = b"".join(map(ids, words)), b" ".join(map(decoded, words))
+            self.chunks[c] = (head, made, tail, first, last)
+        return out
 
     def repair(self, middle: str, before: str, after: str) -> tuple[bytes, bytes]:
         """What meets at a join, encoded with the words on either side, which must come out as they do alone."""
@@ -158,11 +185,11 @@ class ChunkCodec:
         self.widened += 1
         raise JoinError
 
-    def text(self, text: str) -> tuple[int, str, str]:
-        """(count of ids, digest of ids, digest of the decoded text) of one text."""
-        if self.splits and not any(a in text for a in self.added):
+    def coded(self, text: str, chunks: list[bytes] | None) -> tuple[int, str, str]:
+        """(count of ids, digest of ids, digest of the decoded text) of one text with its prepared chunks."""
+        if chunks is not None:
             try:
-                ids, decoded = self.by_chunks(text)
+                ids, decoded = self.by_chunks(chunks)
             except JoinError:
                 ids, decoded = self.run(self.library.encode(text, add_special_tokens=False).ids)
             if not self.joined:
@@ -172,13 +199,16 @@ class ChunkCodec:
             ids, decoded = np.array(got, "<u4").tobytes(), self.library.decode(got, skip_special_tokens=False).encode()
         return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
-    def by_chunks(self, text: str) -> tuple[bytes, bytes]:
-        raw = text.encode()
-        data = np.frombuffer(raw, np.uint8)
-        runs, held, at, near = [], "", 0, ""
-        for end in cuts(data).tolist():
-            head, inner, tail, first, last = self.chunk(raw[at:end])
-            at = end
+    def texts(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        return [self.coded(t, c) for t, c in zip(texts, self.prepare(texts), strict=True)]
+
+    def text(self, text: str) -> tuple[int, str, str]:
+        return self.texts([text])[0]
+
+    def by_chunks(self, chunks: list[bytes]) -> tuple[bytes, bytes]:
+        runs, held, near = [], "", ""
+        for c in chunks:
+            head, inner, tail, first, last = self.chunks[c]
             if inner is None:
                 held += head
                 continue
@@ -202,10 +232,7 @@ def _coded(path: str):
             texts = [t or "" for t in b.column(1).to_pylist()]
             rows = []
             for i in range(0, len(texts), 64):
-                some = texts[i : i + 64]
-                if me.splits:
-                    me.learn(some)
-                rows += [me.text(t) for t in some]
+                rows += me.texts(texts[i : i + 64])
             cols = list(zip(*rows, strict=True)) if rows else [(), (), ()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
