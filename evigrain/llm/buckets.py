@@ -61,6 +61,18 @@ def prefix(s: np.ndarray, level: np.ndarray, percent: int) -> np.ndarray:
     return s[np.argsort(level[(s & U64(WIDTH - 1)).astype(np.int64)], kind="stable")[: n - -(-percent * n // 100) + 1]]
 
 
+#: Columns of a 256-bit map of a set's members; a bit that only one of two sets has stands for a member that only one has.
+BITS = ("b0", "b1", "b2", "b3")
+
+
+def bit_maps(sets: list[np.ndarray]) -> np.ndarray:
+    """(len(sets), 4) words of the sets' bit maps."""
+    out = np.zeros((len(sets), 256), np.uint8)
+    for i, s in enumerate(sets):
+        out[i, (s >> U64(40)).astype(np.int64) & 255] = 1
+    return np.packbits(out, axis=1, bitorder="little").view(np.int64)
+
+
 def _sketch_sets(batches):
     sketch = Sketch()
     for b in batches:
@@ -71,20 +83,22 @@ def _sketch_sets(batches):
 
 
 def prefix_lists(sets: DataFrame, percent: int) -> DataFrame:
-    """(token, fp, n, pos) of the prefixes of sets (fp, n, shingles), in the order of frequencies among these sets."""
+    """(token, fp, n, pos, bit map) of the prefixes of sets (fp, n, shingles), in the order of frequencies among these sets."""
     packed, _ = levels(sets.select("shingles").mapInArrow(_sketch_sets, "block long, salt long, blob binary"))
     level = sets.sparkSession.sparkContext.broadcast(packed)
 
     def run(batches):
         lv = np.frombuffer(zlib.decompress(level.value), np.uint8)
         for b in batches:
-            keys = [prefix(np.frombuffer(x.as_buffer(), U64), lv, percent) for x in b.column(2)]
+            own = [np.frombuffer(x.as_buffer(), U64) for x in b.column(2)]
+            keys = [prefix(s, lv, percent) for s in own]
             many = [len(k) for k in keys]
+            maps = np.repeat(bit_maps(own), many, axis=0)
             token = np.concatenate([*keys, np.empty(0, U64)]).view(np.int64)
             pos = np.concatenate([*(np.arange(m, dtype=np.int32) for m in many), np.empty(0, np.int32)])
-            yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.repeat(b.column(0).to_numpy(), many)), pa.array(np.repeat(b.column(1).to_numpy(), many).astype(np.int32)), pa.array(pos)], names=["token", "fp", "n", "pos"])
+            yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.repeat(b.column(0).to_numpy(), many)), pa.array(np.repeat(b.column(1).to_numpy(), many).astype(np.int32)), pa.array(pos), *(pa.array(maps[:, j].copy()) for j in range(len(BITS)))], names=["token", "fp", "n", "pos", *BITS])
 
-    return sets.select("fp", "n", "shingles").mapInArrow(run, "token long, fp long, n int, pos int")
+    return sets.select("fp", "n", "shingles").mapInArrow(run, "token long, fp long, n int, pos int, b0 long, b1 long, b2 long, b3 long")
 
 
 def passes(rows: int) -> int:
@@ -113,11 +127,18 @@ def union(parts: list[tuple[DataFrame, str]]) -> DataFrame:
     return out
 
 
-def _room(percent: int, one: str, two: str) -> Column:
-    """Whether two members of a list can still overlap enough if this is the first list that they share."""
+def _me(members: DataFrame) -> Column:
+    return F.struct("pos", "n", "fp", "c", *(b for b in BITS if b in members.columns)).alias("me")
+
+
+def _room(percent: int, one: str, two: str, mapped: bool) -> Column:
+    """Whether two members of a list can still overlap enough if this is the first list that they share; by their bit maps too, if they have any."""
     total = F.col(f"{one}.n") + F.col(f"{two}.n")
     least = F.ceil(total * percent / (100 + percent) - 1e-9)
     left = F.least(F.col(f"{one}.n") - F.col(f"{one}.pos"), F.col(f"{two}.n") - F.col(f"{two}.pos"))
+    if mapped:
+        apart = sum((F.bit_count(F.col(f"{one}.{b}").bitwiseXOR(F.col(f"{two}.{b}"))) for b in BITS[1:]), F.bit_count(F.col(f"{one}.b0").bitwiseXOR(F.col(f"{two}.b0"))))
+        left = F.least(left, F.floor((total - apart) / 2))
     return (left >= least) & (F.least(F.col(f"{one}.n"), F.col(f"{two}.n")) * 100 >= F.greatest(F.col(f"{one}.n"), F.col(f"{two}.n")) * percent)
 
 
@@ -130,16 +151,16 @@ def _placed(members: DataFrame, comp: DataFrame | None) -> DataFrame:
 
 def hub_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (a, b) of each member of (token, fp, n, pos, c) with its list's hub, the one of least pos, where components differ."""
-    hubs, _ = base.stored(members.groupBy("token").agg(F.min(F.struct("pos", "n", "fp", "c")).alias("hub")), "hubs")
-    star = members.select("token", F.struct("pos", "n", "fp", "c").alias("me")).join(hubs, "token").where(_room(percent, "me", "hub") & (F.col("me.c") != F.col("hub.c")))
+    hubs, _ = base.stored(members.groupBy("token").agg(F.min(_me(members)).alias("hub")), "hubs")
+    star = members.select("token", _me(members)).join(hubs, "token").where(_room(percent, "me", "hub", BITS[0] in members.columns) & (F.col("me.c") != F.col("hub.c")))
     return star.select(F.least("me.fp", "hub.fp").alias("a"), F.greatest("me.fp", "hub.fp").alias("b")).distinct()
 
 
 def _open(members: DataFrame) -> DataFrame:
     """Members but the hubs, of lists in which those lie in several components: (token, me, ch), ch the hub's component."""
-    hubs = members.groupBy("token").agg(F.min(F.struct("pos", "n", "fp", "c")).alias("hub"), F.count(F.lit(1)).alias("many"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    hubs = members.groupBy("token").agg(F.min(_me(members)).alias("hub"), F.count(F.lit(1)).alias("many"), F.min("c").alias("lo"), F.max("c").alias("hi"))
     hubs, hubs_path = base.stored(hubs.where("many > 2 and lo <> hi").select("token", "hub"), "hubs")
-    rest = members.select("token", F.struct("pos", "n", "fp", "c").alias("me")).join(hubs, "token").where(F.col("me.fp") != F.col("hub.fp"))
+    rest = members.select("token", _me(members)).join(hubs, "token").where(F.col("me.fp") != F.col("hub.fp"))
     rest, path = base.stored(rest.select("token", "me", F.col("hub.c").alias("ch")), "rest")
     unlike, unlike_path = base.stored(rest.groupBy("token").agg(F.min("me.c").alias("lo"), F.max("me.c").alias("hi")).where("lo <> hi").select("token"), "unlike")
     out, _ = base.stored(rest.join(unlike, "token", "left_semi"), "open")
@@ -176,7 +197,7 @@ def resolve(members: DataFrame, percent: int, verify: Callable[[DataFrame], Data
     stray = seen.where(F.col("me.c") != F.col("ch")).select("token", F.col("me").alias("one"), F.col("earlier").alias("e1"))
     rest = seen.select("token", F.col("me").alias("two"), F.col("ch").alias("c3"), F.col("earlier").alias("e2"))
     once = (F.col("two.c") == F.col("c3")) | (F.col("one.fp") < F.col("two.fp"))
-    cross = stray.join(rest, "token").where((F.col("one.c") != F.col("two.c")) & once & _room(percent, "one", "two") & ~F.arrays_overlap("e1", "e2"))
+    cross = stray.join(rest, "token").where((F.col("one.c") != F.col("two.c")) & once & _room(percent, "one", "two", BITS[0] in members.columns) & ~F.arrays_overlap("e1", "e2"))
     pairs, pairs_path = base.stored(cross.select(F.least("one.fp", "two.fp").alias("a"), F.greatest("one.fp", "two.fp").alias("b")).distinct(), "pairs")
     base.drop_path(spark, path)
     base.sweep(spark)
