@@ -268,7 +268,8 @@ def jaccard_groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     whole, _ = base.stored(whole, "classes")
     for path in (mine_path, reps_path, named_path):
         base.drop_path(spark, path)
-    first = whole.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("first")).withColumnRenamed("c", "g")
+    # stored, so that the join on a large component can be split
+    first, _ = base.stored(whole.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("first")).withColumnRenamed("c", "g"), "first")
     return whole.join(first, F.col("c") == F.col("g"), "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("component_id"))
 
 
