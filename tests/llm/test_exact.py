@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from evigrain.llm import additive_ann, base, bpe_codec, html_layout, jaccard_join, ngram_lm, packing, passage_dedup, quality_rules, queries, textops, toxicity, vector_dedup
+from evigrain.llm import additive_ann, base, bpe_codec, buckets, html_layout, jaccard_join, ngram_lm, packing, passage_dedup, quality_rules, queries, textops, toxicity, vector_dedup
 
 P = pytest.importorskip("public_tokenizers")
 DATA = "/root/testdata/sf0.001"
@@ -86,7 +86,7 @@ def test_jaccard_groups(spark, texts, k, percent):
 @pytest.mark.parametrize("percent", [80, 85])
 @pytest.mark.parametrize("boundary", [0, 6, 11, 12, 20])
 def test_nested_sets_share_a_list(percent, boundary):
-    level = types.SimpleNamespace(value=zlib.compress(np.zeros(jaccard_join.WIDTH, np.uint8).tobytes()))
+    level = types.SimpleNamespace(value=zlib.compress(np.zeros(buckets.WIDTH, np.uint8).tobytes()))
     run, _ = jaccard_join._postings(4, percent, boundary, level)
     texts = [" ".join(f"t{j}" for j in range(n + 3)) for n in range(1, 41)]
     (out,) = run([pa.record_batch([pa.array(range(40)), pa.array(texts)], names=["doc_id", "text"])])
