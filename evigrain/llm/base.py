@@ -61,11 +61,29 @@ def sweep(spark: SparkSession, every: float = 0.7) -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for the time of a block, then what it was."""
+    was = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, was)
+
+
 def stored(df: DataFrame, name: str, by: str | None = None) -> tuple[DataFrame, str]:
     """Write df as Parquet in the shared folder, in a folder for each value of `by`, and read it again: lineage is cut, and lost executors lose nothing."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    if by:
+        with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "8"):  # rows need no sort by `by` first
+            df.write.partitionBy(by).parquet(path)
+    else:
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
