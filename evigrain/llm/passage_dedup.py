@@ -75,8 +75,8 @@ def _within(n: int, ptr: np.ndarray, least: int) -> np.ndarray:
 
 
 def seeds_of(h: np.ndarray, ptr: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first words, seeds) of all runs of `least` words within a text: the least hash of the run's shingles of half its length."""
-    half = (least + 1) // 2
+    """(first words, seeds) of all runs of `least` words within a text: the least hash of the run's shingles of a third of its length."""
+    half = (least + 2) // 3
     low = shingle_hashes(h, half)
     room = len(h) - least + 1
     if room <= 0:
