@@ -8,11 +8,11 @@ longer orders do not exist and cost nothing. A document gets the sum of the loga
 `backoff_scores` scores the documents that are counted. Each of their n-grams is in the tables, so no order is given up, and the
 sum of log c(n-gram) - log c(context) over a document is that of its `order`-grams' entries less that of the shorter
 n-grams between its first and its last. Hash class by hash class,
-* documents are exploded to rows (gram, count), summed within tasks, then by gram, into a count table;
+* documents are exploded to rows (gram, count), summed within tasks, dealt by gram and summed into a count table;
   n-grams that occur once need no row, as their logarithm is 0;
 * documents are exploded again to rows (gram, document, weight), joined to the table on gram, and weight * log(count) is summed per document.
-A bit map of a table's grams, of bounded size, spares most rows that would find nothing. Both shuffles combine before they send,
-and a common n-gram's rows are dealt to several tasks by the join.
+The table's most common grams, a bounded number, are broadcast and joined where documents are exploded, so a common n-gram is not shuffled;
+all others are joined by a shuffle. A bit map of the table's grams, of bounded size, spares most rows that would find nothing.
 
 `score_against` scores documents by the counts of another corpus: n-grams by position, joined to the tables, with every order that is given up.
 
@@ -32,32 +32,100 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import base
-from .textops import U64, hash_words, mix, shingle_hashes, string_buffers
+from .textops import _STEP, U64, hash_words, is_space, lower_ascii, mix, string_buffers
 
 ORDER, BACKOFF = 3, 0.4
 #: Bytes of text whose n-grams make a class, about, and most classes.
-CLASS_BYTES, CLASSES = 100_000_000, 8
+CLASS_BYTES, CLASSES = 100_000_000, 4
 #: Least and most bits of the map of a table's grams, and bits for each.
 LEAST_BITS, MOST_BITS, BITS_EACH = 1 << 16, 1 << 26, 16
+#: Most n-grams of a class that are broadcast, and how often they occur at least.
+COMMON, COMMON_LEAST = 1 << 20, 8
+#: N-grams that a task sums at once, rows of an Arrow batch between stages, rows that a task of the counts' sum gets, about.
+HELD, ROWS, PART_ROWS = 1 << 21, 1 << 16, 1_000_000
+#: Rows of a table that a task of the join may hold as a hash table.
+HASHED = 2_000_000
 #: Logarithms are whole numbers of this part.
 UNIT = 1_000_000_000
+#: Bytes whose words are hashed at once, and the longest word that is hashed by eight bytes.
+BLOCK, SHORT_WORD = 1 << 18, 32
+_MASK = np.array([(1 << (8 * i)) - 1 for i in range(9)], U64)
+_ODD = U64(0x9E3779B97F4A7C15)
+
+
+def _block(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and starts of the words of some bytes; texts begin at breaks."""
+    n = len(data)
+    at, before = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
+    at[:-1] = before[1:] = ~is_space(data)
+    opens, closes = at & ~before, before & ~at
+    opens[breaks], closes[breaks] = at[breaks], before[breaks]
+    start = np.flatnonzero(opens)
+    size = np.flatnonzero(closes) - start
+    low = np.zeros((n // 8 + 2) * 8, np.uint8)
+    low[:n] = lower_ascii(data)
+    eights = low.view(U64)
+
+    def eight(place: np.ndarray, most: np.ndarray) -> np.ndarray:
+        word, shift = place >> 3, ((place & 7) << 3).astype(U64)
+        high = np.where(shift > 0, eights[word + 1] << ((U64(64) - shift) & U64(63)), U64(0))
+        return ((eights[word] >> shift) | high) & _MASK[np.minimum(most, 8)]
 
-
-def grams(h: np.ndarray, ptr: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of all n-grams within texts: (hash, text, place in the text); n-grams of different lengths differ."""
     with np.errstate(over="ignore"):
-        key = mix((shingle_hashes(h, n) if n > 1 else h) + U64(n) * U64(0x9E3779B97F4A7C15))
-    of = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))[: len(key)]
-    place = np.arange(len(key)) - ptr[:-1][of]
-    whole = place + n <= np.diff(ptr)[of]
-    return key[whole], of[whole], place[whole]
-
-
-def _class(key: np.ndarray, classes: int) -> np.ndarray:
-    return (key >> U64(48)) % U64(classes)
-
-
-def _spans(offs: np.ndarray, most: int = 1 << 21):
+        h = mix(eight(start, size) + size.astype(U64) * _ODD)
+        rest = np.flatnonzero(size > 8)
+        for done in range(8, SHORT_WORD, 8):
+            rest = rest[size[rest] > done]
+            if not len(rest):
+                break
+            h[rest] = mix(h[rest] * _ODD + eight(start[rest] + done, size[rest] - done))
+        rest = rest[size[rest] > SHORT_WORD]
+        if len(rest):
+            h[rest] = hash_words(np.concatenate([data[i : i + k] for i, k in zip(start[rest], size[rest], strict=True)]), np.concatenate([[0], np.cumsum(size[rest])]))[0]
+    return h, start
+
+
+def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and ptr: words of text i are ptr[i]:ptr[i+1]. As `textops.hash_words`, by eight bytes at a time, and other hashes."""
+    total, at, hashes, starts = len(data), 0, [], []
+    breaks = offs[1:-1]
+    while at < total:
+        end = min(total, at + BLOCK)
+        while end < total and not is_space(data[end : end + 1])[0]:
+            gap = np.flatnonzero(is_space(data[end : end + 4096]))
+            end = end + int(gap[0]) if len(gap) else min(total, end + 4096)
+        lo, hi = np.searchsorted(breaks, (at, end + 1))
+        h, start = _block(data[at:end], breaks[lo:hi] - at)
+        hashes.append(h)
+        starts.append(start + at)
+        at = end
+    h = np.concatenate(hashes) if hashes else np.empty(0, U64)
+    s = np.concatenate(starts) if starts else np.empty(0, np.int64)
+    ptr = np.searchsorted(s, offs)
+    ptr[-1] = len(s)
+    return h, ptr
+
+
+def grams(h: np.ndarray, ptr: np.ndarray, n: int, p: int = 0, classes: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all n-grams of class p within texts: (hash, text, place in the text); n-grams of different lengths differ."""
+    m = len(h) - n + 1
+    if m <= 0:
+        return np.empty(0, U64), np.empty(0, np.int64), np.empty(0, np.int64)
+    with np.errstate(over="ignore"):
+        key = h[:m] * _STEP[0]
+        for j in range(1, n):
+            key += h[j : j + m] * _STEP[j]
+        key += U64(n) * _ODD
+        want = ((key >> U64(40)) * U64(classes)) >> U64(24) == U64(p) if classes > 1 else np.ones(m, bool)
+        for j in range(1, n):  # those that begin in a text's last words run out of it
+            over = ptr[1:] - j
+            want[over[(over >= 0) & (over < m)]] = False
+        at = np.flatnonzero(want)
+        of = np.repeat(np.arange(len(ptr) - 1), np.diff(np.searchsorted(at, ptr)))
+        return mix(key[at]), of, at - ptr[:-1][of]
+
+
+def _spans(offs: np.ndarray, most: int = 1 << 19):
     """Runs of texts of some `most` bytes."""
     i, n = 0, len(offs) - 1
     while i < n:
@@ -70,7 +138,7 @@ def _texts(b: pa.RecordBatch, at: int):
     """(first row, last row, word hashes, ptr) of parts of a batch."""
     data, offs = string_buffers(b.column(at))
     for i, j in _spans(offs):
-        yield i, j, *hash_words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+        yield i, j, *word_hashes(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
 
 
 def _lengths(order: int):
@@ -95,51 +163,133 @@ def _in_map(key: np.ndarray, flags: np.ndarray) -> np.ndarray:
     return (flags[(slot >> U64(6)).astype(np.int64)] >> (slot & U64(63))) & U64(1) > 0
 
 
+def _folded(gram: list[np.ndarray], many: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams, in order, and their sums."""
+    g, m = np.concatenate(gram), np.concatenate(many)
+    by = np.argsort(g)
+    g = g[by]
+    first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+    return g[first], np.add.reduceat(m[by], first)
+
+
+def _batches(gram: np.ndarray, many: np.ndarray):
+    for i in range(0, len(gram), ROWS):
+        yield pa.RecordBatch.from_arrays([pa.array(gram[i : i + ROWS]), pa.array(many[i : i + ROWS])], names=["gram", "many"])
+
+
 def _counted(orders: list[int], p: int, classes: int, asked):
-    """(gram, many) of a class, summed over some texts at a time. Of orders other than the two longest only those that `asked` may hold."""
+    """(gram, many) of a class, summed over some HELD n-grams. Of orders other than the two longest only those that `asked` may hold."""
+
+    def sums(held: list[np.ndarray]):
+        kinds, many = np.unique(np.concatenate(held), return_counts=True)
+        return _batches(kinds.view(np.int64), many.astype(np.int64))
 
     def run(batches):
         flags = np.frombuffer(zlib.decompress(asked.value), np.uint64)
+        held, size = [], 0
         for b in batches:
             for _, _, h, ptr in _texts(b, 0):
                 for n in orders:
-                    key, _, _ = grams(h, ptr, n)
-                    key = key[_class(key, classes) == p]
+                    if n < orders[-1] - 1 and not flags.any():
+                        continue
+                    key, _, _ = grams(h, ptr, n, p, classes)
                     if n < orders[-1] - 1:
                         key = key[_in_map(key, flags)]
-                    kinds, many = np.unique(key, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(many.astype(np.int64))], names=["gram", "many"])
+                    held.append(key)
+                    size += len(key)
+                if size >= HELD:
+                    yield from sums(held)
+                    held, size = [], 0
+        if size:
+            yield from sums(held)
 
     return run, "gram long, many long"
 
 
-def _weighted(order: int, p: int, classes: int, known):
-    """(gram, key, weight) of a class: 1 for each n-gram of `order`, -1 for each shorter one inside; texts of fewer words have their whole as one."""
+def _summed(batches):
+    """(gram, many) of those grams that occur more than once; a task gets all rows of its grams."""
+    held, size, least = [], 0, 2 * HELD
+    for b in batches:
+        held.append((b.column(0).to_numpy(), b.column(1).to_numpy()))
+        size += b.num_rows
+        if size >= least:
+            held = [_folded(*zip(*held, strict=True))]
+            size = len(held[0][0])
+            least = max(least, 2 * size)
+    if size:
+        gram, many = _folded(*zip(*held, strict=True))
+        yield from _batches(gram[many > 1], many[many > 1])
+
+
+def _slots(grams_: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A gram and its logarithm in each slot of a table of twice the size: gram g may be in slot g & (slots - 1) only, the one with the largest logarithm is. Others are left to the join."""
+    bits = max(4, int(2 * max(1, len(grams_)) - 1).bit_length())
+    gram, log = np.zeros(1 << bits, U64), np.zeros(1 << bits, np.int64)
+    by = np.argsort(logs, kind="stable")
+    slot = (grams_.view(U64)[by] & U64((1 << bits) - 1)).astype(np.int64)
+    gram[slot], log[slot] = grams_.view(U64)[by], logs[by]
+    return gram, log
+
+
+def _weighted(order: int, p: int, classes: int, known, common):
+    """(gram, key, weight, own) of a class. weight: 1 for each n-gram of `order`, -1 for each shorter one inside; texts of fewer words have their whole as one.
+
+    Common n-grams are joined here: their weighted logarithms go into own, on one row of weight 0 a text.
+    """
 
     def run(batches):
         flags = np.frombuffer(zlib.decompress(known.value), np.uint64)
+        there, logs = _slots(*(np.frombuffer(x, np.int64) for x in common.value))
         for b in batches:
             keys = b.column(0).to_numpy()
-            for i, _, h, ptr in _texts(b, 1):
+            out = []
+            for i, j, h, ptr in _texts(b, 1):
                 size = np.diff(ptr)
+                own = np.zeros(j - i, np.int64)
                 for n in range(1, order + 1):
-                    gram, of, place = grams(h, ptr, n)
-                    want = _class(gram, classes) == p
-                    if n == order - 1:
-                        want &= ((place > 0) & (place + n < size[of])) | (size[of] == n)
-                    elif n < order - 1:
-                        want &= size[of] == n
-                    gram, of = gram[want], of[want]
-                    sign = np.where((n == order) | (size[of] == n), 1, -1)
-                    seen = _in_map(gram, flags)
-                    yield pa.RecordBatch.from_arrays([pa.array(gram[seen].view(np.int64)), pa.array(keys[i + of[seen]]), pa.array(sign[seen].astype(np.int32))], names=["gram", "key", "weight"])
-
-    return run, "gram long, key long, weight int"
-
-
-def _bit_map(grams_: DataFrame):
-    """A broadcast bit map over the low bits of the grams, sized by their number up to MOST_BITS."""
-    bits, n = LEAST_BITS, grams_.count()
+                    if n < order - 1 and not (size == n).any():
+                        continue
+                    gram, of, place = grams(h, ptr, n, p, classes)
+                    if n == order:
+                        sign = np.ones(len(gram), np.int64)
+                    else:
+                        whole = size[of] == n
+                        want = whole | ((place > 0) & (place + n < size[of])) if n == order - 1 else whole
+                        gram, of, sign = gram[want], of[want], np.where(whole[want], 1, -1)
+                    slot = (gram & U64(len(there) - 1)).astype(np.int64)
+                    hit = (there[slot] == gram) & (logs[slot] > 0)
+                    to = np.concatenate([[0], np.cumsum(np.where(hit, sign * logs[slot], 0))])
+                    own += np.diff(to[np.searchsorted(of, np.arange(j - i + 1))])
+                    seen = ~hit & _in_map(gram, flags)
+                    out.append((gram[seen].view(np.int64), keys[i + of[seen]], sign[seen].astype(np.int32), np.zeros(int(seen.sum()), np.int64)))
+                some = np.flatnonzero(own)
+                out.append((keys[i + some], keys[i + some], np.zeros(len(some), np.int32), own[some]))
+            if out:
+                columns = [np.concatenate(x) for x in zip(*out, strict=True)]
+                for i in range(0, len(columns[0]), ROWS):
+                    yield pa.RecordBatch.from_arrays([pa.array(x[i : i + ROWS]) for x in columns], names=["gram", "key", "weight", "own"])
+
+    return run, "gram long, key long, weight int, own long"
+
+
+def _common(table: DataFrame):
+    """Broadcast grams and logarithms, as bytes, of the most common of table (gram, log): at most COMMON, that occur COMMON_LEAST times and more."""
+    part = UNIT // 16
+    least = -(-int(np.log(COMMON_LEAST) * UNIT) // part)
+    sizes = table.where(F.col("log") >= least * part).groupBy(F.expr(f"log div {part}").alias("at")).count().collect()  # some hundred rows, whatever the input
+    n = 0
+    for at, many in sorted(sizes, reverse=True):
+        n += many
+        if n > COMMON:
+            least = at + 1
+            break
+    got = table.where(F.col("log") >= least * part).toArrow()
+    return table.sparkSession.sparkContext.broadcast(tuple(got[x].to_numpy().astype(np.int64).tobytes() for x in ("gram", "log")))
+
+
+def _bit_map(grams_: DataFrame, n: int):
+    """A broadcast bit map over the low bits of n grams, sized by their number up to MOST_BITS."""
+    bits = LEAST_BITS
     while bits < min(MOST_BITS, BITS_EACH * n):
         bits *= 2
     slot = F.col("gram").bitwiseAND(F.lit(bits - 1))
@@ -175,19 +325,31 @@ def backoff_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     docs = _rows(docs)
     run, schema = _lengths(order)
     found, _ = base.stored(docs.mapInArrow(run, schema), "lengths")
-    short = _bit_map(found.where("short is not null").select(F.col("short").alias("gram")).distinct())
+    whole = found.where("short is not null").select(F.col("short").alias("gram")).distinct()
+    short = _bit_map(whole, whole.count())
     total, size = found.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0], docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     classes = max(1, min(CLASSES, -(-size // CLASS_BYTES)))
+    dealt = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(dealt, min(order, 2) * total // classes // PART_ROWS)
     sums = []
     for p in range(classes):
         run, schema = _counted(list(range(1, order + 1)), p, classes, short)
-        table = docs.select("text").mapInArrow(run, schema).groupBy("gram").agg(F.sum("many").alias("c")).where("c > 1")
-        table, table_path = base.stored(table.select("gram", units(F.col("c")).alias("log")), "counts")
+        rows = docs.select("text").mapInArrow(run, schema).repartition(parts, "gram")
+        with base.setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS)):
+            table, table_path = base.stored(rows.mapInArrow(_summed, schema).select("gram", units(F.col("many")).alias("log")), "counts")
+        del rows
         base.sweep(spark)
-        run, schema = _weighted(order, p, classes, _bit_map(table.select("gram")))
-        part = docs.select("key", "text").mapInArrow(run, schema).join(table, "gram").groupBy("key").agg(F.sum(F.col("weight") * F.col("log")).alias("log"))
+        n = table.count()
+        known, common = _bit_map(table.select("gram"), n), _common(table)
+        run, schema = _weighted(order, p, classes, known, common)
+        asked = docs.select("key", "text").mapInArrow(run, schema)
+        joined = asked.join(table.hint("shuffle_hash") if n <= HASHED * dealt else table, "gram", "left")
+        part = joined.groupBy("key").agg(F.sum(F.coalesce(F.col("weight") * F.col("log"), F.lit(0)) + F.col("own")).alias("log"))
         sums.append(base.stored(part, "sums")[0])
+        known.destroy()
+        common.destroy()
         base.drop_path(spark, table_path)
+        del asked, joined, part, table
         base.sweep(spark)
     every = sums[0]
     for s in sums[1:]:

@@ -129,6 +129,54 @@ def test_backoff_query_counts_every_ngram(spark, texts, monkeypatch):
         assert got[d]["n_words"] == len(w) and got[d]["log_score"] == pytest.approx(plain_backoff(w, count, sum(count[1].values())), rel=1e-9, abs=1e-5)
 
 
+@pytest.mark.parametrize("common", [0, 50, 1 << 20])
+def test_backoff_by_broadcast_and_by_shuffle(spark, monkeypatch, common):
+    rng = np.random.default_rng(5)
+    texts = {i: " ".join(f"w{x}" for x in rng.zipf(1.5, rng.integers(0, 40)) if x < 500) for i in range(120)}
+    for name, value in (("CLASS_BYTES", 4000), ("COMMON", common), ("COMMON_LEAST", 3), ("HELD", 200), ("PART_ROWS", 300), ("ROWS", 70)):
+        monkeypatch.setattr(ngram_lm, name, value)
+    got = {r["doc_id"]: r for r in ngram_lm.backoff_scores(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    words = {i: t.split() for i, t in texts.items()}
+    count = plain_counts(words.values())
+    for d, w in words.items():
+        assert got[d]["n_words"] == len(w) and got[d]["log_score"] == pytest.approx(plain_backoff(w, count, sum(count[1].values())), rel=1e-9, abs=1e-6)
+
+
+def test_backoff_scans_texts_few_times_and_shuffles_no_common_ngram(spark, monkeypatch):
+    scans, was = [], ngram_lm._weighted
+
+    def weighted(*args):
+        scans.append((*args[:3], *(types.SimpleNamespace(value=x.value) for x in args[3:])))  # the broadcasts go after use
+        return was(*args)
+
+    monkeypatch.setattr(ngram_lm, "CLASS_BYTES", 100)
+    monkeypatch.setattr(ngram_lm, "_weighted", weighted)
+    ngram_lm.backoff_scores(spark.createDataFrame([(i, "a b c d " * 9) for i in range(40)], "doc_id long, text string"))
+    assert 1 < len(scans) <= 4
+    batch = pa.RecordBatch.from_arrays([pa.array([7, 8]), pa.array(["a b c d " * 9] * 2)], names=["key", "text"])
+    rows = [r for args in scans for b in was(*args)[0]([batch]) for r in b.to_pylist()]
+    assert len(rows) <= 2 * len(scans) and not any(r["weight"] for r in rows)  # every n-gram is common: no row but a sum for each text and class
+
+
+def test_backoff_word_hashes_stand_for_words(monkeypatch):
+    rng = np.random.default_rng(3)
+    parts = ["a", "B", "\0", "é", " ", "\t", "\x0b", "x" * 9, "y" * 33, "\x85", "Z" * 70]
+    col = pa.array(["".join(rng.choice(parts, rng.integers(0, 60))) for _ in range(400)] + [None, ""])
+    words = [WORD.findall((t or "").translate(LOWER)) for t in col.to_pylist()]
+    data, offs = textops.string_buffers(col)
+    for block in (1, 64, 1 << 18):
+        monkeypatch.setattr(ngram_lm, "BLOCK", block)
+        h, ptr = ngram_lm.word_hashes(data, offs)
+        assert list(np.diff(ptr)) == list(map(len, words))
+        flat = [x for w in words for x in w]
+        assert len(set(zip(flat, h.tolist(), strict=True))) == len(set(flat)) == len(set(h.tolist()))
+    for n in (1, 2, 3):
+        whole = ngram_lm.grams(h, ptr, n)
+        parts = [ngram_lm.grams(h, ptr, n, p, 3) for p in range(3)]
+        assert sorted(zip(*map(list, whole))) == sorted(x for part in parts for x in zip(*map(list, part)))
+        assert len(whole[0]) == sum(max(0, len(w) - n + 1) for w in words)
+
+
 def test_backoff_of_short_and_repeated_rows(spark):
     rows = [(1, "a"), (1, "a"), (2, "a b"), (3, "a b c"), (4, "a b c"), (5, "b c d a b"), (6, ""), (7, None), (None, "b"), (8, "a"), (8, "b c")]
     words = [(i, (t or "").split()) for i, t in rows]
