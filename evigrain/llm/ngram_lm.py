@@ -13,6 +13,10 @@ n-grams between its first and its last. Hash class by hash class,
 * documents are exploded again to rows (gram, document, weight), joined to the table on gram, and weight * log(count) is summed per document.
 The table's most common grams, a bounded number, are broadcast and joined where documents are exploded, so a common n-gram is not shuffled;
 all others are joined by a shuffle. A bit map of the table's grams, of bounded size, spares most rows that would find nothing.
+Both are of fixed size, so for a corpus of more than LARGE bytes another way is taken, whose work a byte does not grow:
+* documents are exploded once a class to (gram, document, count, weight), one entry for each gram of a document. Entries are packed, many to a row,
+  for the task that gets all of their grams; it counts them and sums weight * log(count) by document;
+* those sums are packed and dealt by document, and summed. Nothing is joined, broadcast or collected, and a common n-gram has at most one entry for each document.
 
 `score_against` scores documents by the counts of another corpus: n-grams by position, joined to the tables, with every order that is given up.
 
@@ -37,6 +41,8 @@ from .textops import _STEP, U64, hash_words, is_space, lower_ascii, mix, string_
 ORDER, BACKOFF = 3, 0.4
 #: Bytes of text whose n-grams make a class, about, and most classes.
 CLASS_BYTES, CLASSES = 100_000_000, 4
+#: Bytes of text beyond which entries are packed for the tasks that count them, and nothing is joined; classes then.
+LARGE, LARGE_CLASSES = 400_000_000, 6
 #: Least and most bits of the map of a table's grams, and bits for each.
 LEAST_BITS, MOST_BITS, BITS_EACH = 1 << 16, 1 << 26, 16
 #: Most n-grams of a class that are broadcast, and how often they occur at least.
@@ -272,6 +278,106 @@ def _weighted(order: int, p: int, classes: int, known, common):
     return run, "gram long, key long, weight int, own long"
 
 
+def _dealt(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Where keys in order are cut for `parts` tasks: those of task i are [i]:[i+1]."""
+    of = ((keys >> U64(32)) * U64(parts)) >> U64(32)
+    return np.searchsorted(of, np.arange(parts + 1, dtype=np.int64).astype(U64))
+
+
+def _packed(keys: np.ndarray, parts: int, *columns: np.ndarray):
+    """Batches of (part, and bytes of keys and columns): a row for each part that has any. keys are unsigned, in order."""
+    cut = _dealt(keys, parts)
+    some = np.flatnonzero(np.diff(cut))
+    fields = [pa.array([x[cut[i] : cut[i + 1]].tobytes() for i in some], pa.binary()) for x in (keys, *columns)]
+    if len(some):
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *fields], names=["part", *_PACKED[: len(fields)]])
+
+
+#: Names of packed columns and their types.
+_PACKED, _TYPES = ["a", "b", "c", "d"], [U64, np.int64, np.int32, np.int32]
+
+
+def _unpacked(batches, types: list) -> list[np.ndarray]:
+    held = [[] for _ in types]
+    for b in batches:
+        for to, column, kind in zip(held, b.columns[1:], types, strict=True):
+            data, offs = (np.frombuffer(column.buffers()[2], np.uint8), np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]) if len(column) else (np.empty(0, np.uint8), [0])
+            to.append(data[offs[0] : offs[-1]].copy().view(kind))
+    return [np.concatenate(x) if x else np.empty(0, kind) for x, kind in zip(held, types, strict=True)]
+
+
+def _entries(order: int, p: int, classes: int, asked, parts: int):
+    """Packed (gram, key, count, weight) of a class: one entry for each gram of a text, within some HELD n-grams. Weights are those of `_weighted`; of shorter orders only grams that `asked` may hold."""
+
+    def merged(held):
+        gram, key, weight = (np.concatenate(x) for x in zip(*held, strict=True))
+        by = np.argsort(gram, kind="stable")
+        gram, key, weight = gram[by], key[by], weight[by]
+        first = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (key[1:] != key[:-1])]))
+        many = np.diff(np.append(first, len(gram))).astype(np.int32)
+        return _packed(gram[first], parts, key[first], many, np.add.reduceat(weight, first, dtype=np.int32))
+
+    def run(batches):
+        flags = np.frombuffer(zlib.decompress(asked.value), np.uint64)
+        held, size = [], 0
+        for b in batches:
+            keys = b.column(0).to_numpy()
+            for i, _, h, ptr in _texts(b, 1):
+                words = np.diff(ptr)
+                for n in range(1, order + 1):
+                    if n < order - 1 and not flags.any():
+                        continue
+                    gram, of, place = grams(h, ptr, n, p, classes)
+                    if n < order - 1:
+                        want = _in_map(gram, flags)
+                        gram, of, place = gram[want], of[want], place[want]
+                    whole = words[of] == n
+                    inside = (place > 0) & (place + n < words[of]) if n == order - 1 else False
+                    weight = np.ones(len(gram), np.int32) if n == order else np.where(whole, 1, np.where(inside, -1, 0)).astype(np.int32)
+                    held.append((gram, keys[i + of], weight))
+                    size += len(gram)
+                if size >= HELD:
+                    yield from merged(held)
+                    held, size = [], 0
+        if size:
+            yield from merged(held)
+
+    return run, "part int, a binary, b binary, c binary, d binary"
+
+
+def _counted_entries(parts: int):
+    """Packed (key, sum of weight * log(count)) of entries; a task gets all entries of its grams."""
+
+    def run(batches):
+        gram, key, many, weight = _unpacked(batches, _TYPES)
+        if not len(gram):
+            return
+        by = np.argsort(gram)
+        gram = gram[by]
+        first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+        del gram
+        count = np.add.reduceat(many[by], first, dtype=np.int64)
+        log = np.repeat(np.rint(np.log(count) * UNIT).astype(np.int64), np.diff(np.append(first, len(by))))
+        some = np.flatnonzero(log)
+        if not len(some):
+            return
+        by, log = by[some], log[some]
+        log *= weight[by]
+        key, log = _folded([key[by].view(U64)], [log])
+        yield from _packed(key[log != 0], parts, log[log != 0])
+
+    return run, "part int, a binary, b binary"
+
+
+def _totals(batches):
+    """(key, log) of packed sums; a task gets all sums of its keys."""
+    key, log = _unpacked(batches, _TYPES[:2])
+    if len(key):
+        key, log = _folded([key], [log])
+        for b in _batches(key.view(np.int64), log):
+            yield b.rename_columns(["key", "log"])
+
+
 def _common(table: DataFrame):
     """Broadcast grams and logarithms, as bytes, of the most common of table (gram, log): at most COMMON, that occur COMMON_LEAST times and more."""
     part = UNIT // 16
@@ -328,11 +434,15 @@ def backoff_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     whole = found.where("short is not null").select(F.col("short").alias("gram")).distinct()
     short = _bit_map(whole, whole.count())
     total, size = found.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0], docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    classes = max(1, min(CLASSES, -(-size // CLASS_BYTES)))
+    classes = LARGE_CLASSES if size > LARGE else max(1, min(CLASSES, -(-size // CLASS_BYTES)))
     dealt = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = max(dealt, min(order, 2) * total // classes // PART_ROWS)
     sums = []
     for p in range(classes):
+        if size > LARGE:
+            sums.append(_class_sums(docs, order, p, classes, short, parts))
+            base.sweep(spark)
+            continue
         run, schema = _counted(list(range(1, order + 1)), p, classes, short)
         rows = docs.select("text").mapInArrow(run, schema).repartition(parts, "gram")
         with base.setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS)):
@@ -362,6 +472,15 @@ def backoff_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     return _result(whole, F.col("log") - F.round(F.ln(F.lit(max(1, total))) * UNIT).cast("long"))
 
 
+def _class_sums(docs: DataFrame, order: int, p: int, classes: int, short, parts: int) -> DataFrame:
+    """(key, log) of the n-grams of a class, by packed entries."""
+    run, schema = _entries(order, p, classes, short, parts)
+    rows = docs.select("key", "text").mapInArrow(run, schema).repartitionById(parts, F.col("part"))
+    run, schema = _counted_entries(parts)
+    rows = rows.mapInArrow(run, schema).repartitionById(parts, F.col("part"))
+    return base.stored(rows.mapInArrow(_totals, "key long, log long"), "sums")[0]
+
+
 def _exploded(order: int):
     """(key, place, n, gram) of every n-gram of every text, by the place of its last word."""
 

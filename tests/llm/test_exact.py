@@ -158,6 +158,33 @@ def test_backoff_scans_texts_few_times_and_shuffles_no_common_ngram(spark, monke
     assert len(rows) <= 2 * len(scans) and not any(r["weight"] for r in rows)  # every n-gram is common: no row but a sum for each text and class
 
 
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_backoff_of_a_large_corpus_packs_entries_and_joins_nothing(spark, monkeypatch, order):
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(f"w{x}" for x in rng.zipf(1.5, rng.integers(0, 40)) if x < 500)) for i in range(150)]
+    rows += [(1, "a"), (1, "a"), (200, "a b"), (None, "b"), (201, None), (202, "w1 w1 w1 w1 w1"), *rows[:9]]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+    found = lambda: sorted((tuple(r) for r in ngram_lm.backoff_scores(df, order).collect()), key=key)
+    want = found()  # one class, joined
+
+    def no(*_):
+        raise AssertionError("of fixed size, so no use for a large corpus")
+
+    for name, value in (("LARGE", 0), ("CLASS_BYTES", 1000), ("HELD", 300), ("PART_ROWS", 400), ("_weighted", no), ("_common", no)):
+        monkeypatch.setattr(ngram_lm, name, value)
+    assert found() == want
+
+
+def test_backoff_entries_are_one_for_each_document_of_a_gram():
+    asked = types.SimpleNamespace(value=zlib.compress(np.zeros(4, np.int64).tobytes()))
+    batch = pa.RecordBatch.from_arrays([pa.array([7, 8]), pa.array(["a b c d " * 900] * 2)], names=["key", "text"])
+    run, _ = ngram_lm._entries(3, 0, 1, asked, 5)
+    gram, key, many, weight = ngram_lm._unpacked(run([batch]), ngram_lm._TYPES)
+    assert len(gram) == len(set(zip(gram.tolist(), key.tolist(), strict=True))) == 2 * 8
+    assert many.sum() == 2 * (3598 + 3599) and weight.sum() == 2 * (3598 - 3597)
+
+
 def test_backoff_word_hashes_stand_for_words(monkeypatch):
     rng = np.random.default_rng(3)
     parts = ["a", "B", "\0", "é", " ", "\t", "\x0b", "x" * 9, "y" * 33, "\x85", "Z" * 70]
