@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from evigrain.constants import EVIDENCE_TYPES, ROLES, TIER_2_AXES, TIER_3_AXES, VERBS
 from evigrain.functions import geometry, ids
+from evigrain.operators import gates
 
 LINES = 8
 
@@ -88,11 +89,11 @@ def candidates(spark: SparkSession, sf_dir: str, with_pages: bool = True) -> Dat
 
     def node(k: Column) -> Column:
         hp = h(":p:", k)
-        page = (F.pmod(hp, F.col("page_count")) + 1 + F.when(F.pmod(hp, F.lit(17)) == 0, 1).otherwise(0)).cast("int")
+        page = gates.let(hp, lambda x: (F.pmod(x, F.col("page_count")) + 1 + F.when(F.pmod(x, F.lit(17)) == 0, 1).otherwise(0)).cast("int"))
         x, y = F.pmod(h(":x:", k), F.lit(700)) / 1000.0, F.pmod(h(":y:", k), F.lit(700)) / 1000.0
-        source = F.get(F.filter("pages", lambda g: g["page_number"] == page), 0)
-        excerpt = F.get(source["blocks"], F.pmod(h(":b:", k), F.lit(LINES)).cast("int"))["text"]
-        return F.struct(text((F.lit("e"), k)).alias("id"), page.alias("page"), geometry.box(x, y, x + 0.25, y + 0.25).alias("bbox"), pick(ROLES, F.pmod(h(":r:", k), F.lit(13))).alias("role"), excerpt.alias("excerpt"), (F.pmod(h(":k:", k), F.lit(5)) != 0).alias("key"))
+        place = F.pmod(h(":b:", k), F.lit(LINES)).cast("int")
+        # pages are in order from 1, so a page is found by its place; the page is bound, so that its hash is worked out once
+        return gates.let(page, lambda p: F.struct(text((F.lit("e"), k)).alias("id"), p.alias("page"), geometry.box(x, y, x + 0.25, y + 0.25).alias("bbox"), pick(ROLES, F.pmod(h(":r:", k), F.lit(13))).alias("role"), F.get(F.get("pages", p - 1)["blocks"], place)["text"].alias("excerpt"), (F.pmod(h(":k:", k), F.lit(5)) != 0).alias("key")))
 
     def operation(j: Column) -> Column:
         before = F.when(j > 1, text((F.lit("o"), j - 1)))

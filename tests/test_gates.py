@@ -175,3 +175,17 @@ def test_region_match_is_greedy_and_one_to_one(spark):
     right = [node("x", 1, (0.0, 0.0, 0.4, 0.4)), node("y", 3)]
     df = spark.createDataFrame([(left, right), ([], [])], f"l array<{NODE}>, r array<{NODE}>")
     assert [r[0] for r in df.select(select.region_jaccard(F.col("l"), F.col("r"), 0.3)).collect()] == [0.25, 1.0]
+
+
+def test_region_match_works_out_each_part_once(spark):
+    sides = F.col("l"), F.transform("r", lambda x: x.withField("mark", F.lit("once")))
+    said = str(select.region_jaccard(*sides, 0.3))
+    assert said.count("once") == 1 and said.count("array_max") == 1
+
+
+def test_a_page_is_found_by_its_place_and_hashed_once(spark):
+    from evigrain.plans import derived
+
+    plan = derived.candidates(spark, "/root/testdata/sf0.001", False).select("graph.nodes")._jdf.queryExecution().analyzed().toString()
+    assert plan.count("filter(pages") == 1  # that for empty pages
+    assert plan.count(":p:") == 1
