@@ -189,3 +189,21 @@ def test_a_page_is_found_by_its_place_and_hashed_once(spark):
     plan = derived.candidates(spark, "/root/testdata/sf0.001", False).select("graph.nodes")._jdf.queryExecution().analyzed().toString()
     assert plan.count("filter(pages") == 1  # that for empty pages
     assert plan.count(":p:") == 1
+
+
+def test_selection_compares_a_candidate_with_those_that_stay_only(spark, monkeypatch):
+    n, seen = 60, spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def alike(a, b):
+        if b is not None:
+            seen.add(1)
+        return ["same"] if b is not None and a["tokens"] == b["tokens"] else []
+
+    monkeypatch.setattr(select, "why_alike", lambda a, b, _: alike(a, b))
+    rows = [("d" if i % 2 else None, f"s{i:02}", "t", 1.0 - i / 100, f"word{i % 7}" if i % 2 else "same", ([], [], "y"), True) for i in range(2 * n)]
+    df = spark.createDataFrame(rows, f"document_id string, sample_id string, primary_evidence_type string, structural_score double, prompt string, graph {GRAPH}, static_checks_passed boolean")
+    got = {r["sample_id"]: (r["status"], r["matched_sample_id"], r["reasons"]) for r in select.select_diverse(df, Deduplication()).collect()}
+    assert len(got) == 2 * n and [i for i, x in got.items() if x[0] == "selected"] and seen.value <= 2 * n * Deduplication().max_tasks_per_document
+    assert got["s00"] == ("selected", None, []) and all(got[f"s{i:02}"] == ("rejected_duplicate", "s00", ["same"]) for i in range(2, 2 * n, 2))
+    assert [i for i, x in sorted(got.items()) if x[0] == "selected"] == ["s00", "s01", "s03", "s05"] and got["s07"] == ("rejected_document_cap", None, ["max_tasks_per_document"])
