@@ -94,6 +94,23 @@ def test_summary_and_its_files(spark, tmp_path):
     assert "- `final_x`: 1" in (tmp_path / "report.md").read_text()
 
 
+def test_summary_works_a_table_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def status(i):
+        seen.add(1)
+        return None if i == 3 else f"s{i % 2}"
+
+    c = "array<struct<check:string,passed:boolean,details:string>>"
+    rows = [(i, "p", [("final_x", i % 2 == 0, ""), ("final_y", None, "")] if i else None) for i in range(8)]
+    fin = spark.createDataFrame(rows, f"i int, human_review_status string, checks {c}").withColumn("final_validation_status", status("i"))
+    found = report.summary({"finalized": fin})
+    assert seen.value == 8
+    assert found["finalized"] == 8 and found["final_statuses"] == {"None": 1, "s0": 4, "s1": 3} and found["human_review_statuses"] == {"p": 8} and found["final_blockers"] == {"final_x": 4}
+    assert report.summary({"finalized": fin.where("false")})["final_blockers"] == {}
+
+
 def test_manifests_packages_decisions_and_splits(spark, tmp_path):
     (tmp_path / "m.yaml").write_text("source_id: s\ndocuments:\n- {source_url: 'https://a.example/x.pdf', title: T, license_status: approved, license_id: CC0}\n")
     r = files.read_manifest(spark, tmp_path / "m.yaml").first()
