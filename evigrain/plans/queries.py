@@ -528,6 +528,7 @@ def exact_text_tokens(spark, sf_dir):
     """Exact token counts; tested against the tokenizer library."""
     import public_tokenizers
 
+    select.small_batches(spark)
     return docs(spark, sf_dir).select("doc_id", select.count_tokens(public_tokenizers.path("byte_bpe_50k.json"))("text").alias("n_tokens"))
 
 

@@ -207,3 +207,22 @@ def test_selection_compares_a_candidate_with_those_that_stay_only(spark, monkeyp
     assert len(got) == 2 * n and [i for i, x in got.items() if x[0] == "selected"] and seen.value <= 2 * n * Deduplication().max_tasks_per_document
     assert got["s00"] == ("selected", None, []) and all(got[f"s{i:02}"] == ("rejected_duplicate", "s00", ["same"]) for i in range(2, 2 * n, 2))
     assert [i for i, x in sorted(got.items()) if x[0] == "selected"] == ["s00", "s01", "s03", "s05"] and got["s07"] == ("rejected_document_cap", None, ["max_tasks_per_document"])
+
+
+def test_tokens_are_counted_by_slices_of_bounded_size(monkeypatch):
+    import sys
+    import types
+
+    import pandas as pd
+
+    most = []
+
+    class Tokenizer:
+        def encode_batch(self, texts, add_special_tokens):
+            most.append(sum(map(len, texts)) if len(texts) > 1 else 0)
+            return [types.SimpleNamespace(ids=list(x.split())) for x in texts]
+
+    monkeypatch.setitem(sys.modules, "tokenizers", types.SimpleNamespace(Tokenizer=types.SimpleNamespace(from_file=lambda _: Tokenizer())))
+    texts = ["a b " * n for n in (1, 40_000, 90_000, 3, 0, 60_000, 2)] * 9 + [None]
+    got = [n for s in select.count_tokens("x").func(iter([pd.Series(texts), pd.Series([], dtype=str)])) for n in s]
+    assert got == [len((x or "").split()) for x in texts] and max(most) <= 1 << 18
